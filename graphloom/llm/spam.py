@@ -5,9 +5,9 @@ identifier, a link, or bare words without function words. The document's feature
 the share of its most frequent word, its most frequent pair of words per sentence, the share of repeated lines,
 the separators per word and the share of link text. A short honest opening changes shares little.
 
-Thresholds follow each language's own documents: the median plus three times the distance to the 90th
-percentile, never below a floor. In a language whose function words are not known all documents look bare, so its
-thresholds rise until none is taken for spam by that feature.
+Thresholds follow each language's own documents with prose: the median plus three times the distance to the 90th
+percentile, never below a floor. In a language whose function words are not known, units that end as a sentence
+count as prose.
 
 Features are computed where the documents are; only quantiles per language, a handful of rows, are gathered.
 Defined results. Null, empty and blank texts and texts shorter than ``LEAST`` characters are no cases.
@@ -50,6 +50,7 @@ _LINE = re.compile(r"\r\n|\r|\n|\t")
 _SENTENCE = re.compile(r"(?<=[。！？])|(?<=[.!?])\s+")
 _SPLIT = re.compile(r"[。！？!?]|\.\s|\n")
 _SEPARATOR = re.compile(r"[|,;/·•、，；#※>»\n\t]|[：:]\s?$")
+_ENDED = re.compile(r"[.!?。！？][\"')）」』]?\s*$")
 FEATURES = "doc_id long, language string, n long, prose double, listed double, linked double, top_word double, pair_share double, stuffed double, repeated double, separators double"
 
 
@@ -63,7 +64,10 @@ def units(text: str) -> Iterator[str]:
 
 
 def kind(unit: str) -> str:
-    """What one unit is: prose, code, name, link or bare; empty if it has no word."""
+    """What one unit is: prose, code, name, link or bare; empty if it has no word.
+
+    A unit of words without known function words is still prose if it ends as a sentence and is no enumeration.
+    """
     links = _URL.findall(unit)
     rest = _URL.sub(" ", unit) if links else unit
     words = [w.lower() for w in _WORD.findall(rest)]
@@ -78,6 +82,8 @@ def kind(unit: str) -> str:
         return "code"
     if links:
         return "link"
+    if len(words) >= 6 and _ENDED.search(rest) and len(_SEPARATOR.findall(rest)) < 0.3 * len(words):
+        return "prose"
     return "name" if _NAME.match(unit) else "bare"
 
 
@@ -91,8 +97,9 @@ def language(text: str) -> str:
         return "ja" if letters["ja"] > 0.3 * cjk else "zh"
     if letters["ru"] > 0.3 * total:
         return "ru"
-    votes = Counter(_OF[w] for w in re.findall(r"[a-zà-ÿ]+", text.lower()) if w in _OF and _OF[w] != "ru")
-    return votes.most_common(1)[0][0] if votes else "und"
+    words = re.findall(r"[^\W\d_]+", text)
+    votes = Counter(_OF[w] for w in words if w in _OF).most_common(1)
+    return votes[0][0] if votes and votes[0][1] >= max(3, 0.04 * len(words)) else "und"
 
 
 def features(text: str) -> tuple:
@@ -134,11 +141,11 @@ def document_features(docs: DataFrame) -> DataFrame:
 
 
 def thresholds(held: DataFrame) -> DataFrame:
-    """Calibrated thresholds per language, one row each."""
+    """Calibrated thresholds per language, one row each, from documents with enough prose to be no list."""
     q = lambda c: F.percentile_approx(c, [0.5, 0.9], 1000)
     at = lambda x, floor: F.greatest(F.lit(floor), x[0] + 3 * (x[1] - x[0]))
     return (
-        held.where(F.col("n") >= LEAST)
+        held.where((F.col("n") >= LEAST) & (F.col("prose") >= PROSE_MOST))
         .groupBy("language")
         .agg(q("listed").alias("l"), q("stuffed").alias("s"), F.count("*").alias("n_docs"))
         .select("language", "n_docs", at(F.col("l"), LISTED_FLOOR).alias("listed_from"), at(F.col("s"), STUFFED_FLOOR).alias("stuffed_from"))
@@ -154,8 +161,8 @@ def scored(docs: DataFrame) -> DataFrame:
     sign = F.lit(False)
     for name, least in SIGNS.items():
         sign = sign | (F.col(name) >= least)
-    listed = (F.col("listed") >= F.col("listed_from")) & (F.col("prose") < PROSE_MOST) & sign
-    stuffed = (F.col("stuffed") >= F.col("stuffed_from")) & (F.col("pair_share") >= PAIR_SHARE)
+    listed = (F.col("listed") >= F.least(F.lit(1.0), F.coalesce("listed_from", F.lit(LISTED_FLOOR)))) & (F.col("prose") < PROSE_MOST) & sign
+    stuffed = (F.col("stuffed") >= F.coalesce("stuffed_from", F.lit(STUFFED_FLOOR))) & (F.col("pair_share") >= PAIR_SHARE)
     joined = held.join(F.broadcast(thresholds(held)), "language", "left")
     which = F.when(F.col("n") < LEAST, None).when(listed & (F.col("linked") >= 0.5), "links").when(listed, "list").when(stuffed, "keywords")
     return joined.withColumn("why", which)
