@@ -180,11 +180,15 @@ def test_scans_stream_and_documents(spark, tmp_path):
     assert scans.count() == 3
     got = {(r.base[-16:], r.p_file is None, r.t_file is None) for r in text.pairs(scans).collect()}
     assert got == {("_b_20260101_0203", False, False), ("_d_20260101_0203", True, False)}
-    seen = []
-    q = incremental.run_available(spark, str(folder), str(tmp_path / "cp"), lambda df, n: seen.append(df.count()))
-    q.awaitTermination(120)
-    incremental.run_available(spark, str(folder), str(tmp_path / "cp"), lambda df, n: seen.append(df.count())).awaitTermination(120)
-    assert sum(seen) == 3
+    seen, hashes, table = [], str(tmp_path / "hashes"), str(tmp_path / "table")
+    step = lambda df, n=0: seen.append(df.count())
+    assert [incremental.run_available(spark, str(folder), hashes, step) for _ in range(2)] == [3, 0] and seen == [3]
+    (folder / "[OCR]_windows-c-_d_20260101_0203.txt").write_text("new")
+    assert incremental.run_available(spark, str(folder), hashes, step) == 1
+    scans.write.parquet(table)
+    for _ in range(2):
+        incremental.run_stream(spark, table, str(tmp_path / "cp"), step).awaitTermination(120)
+    assert seen == [3, 1, 3]
     todo, known = incremental.resume(scans, scans.select("file_name", "md5").limit(2))
     assert todo.count() == 1 and known.count() == 3
 
