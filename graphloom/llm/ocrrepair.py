@@ -288,15 +288,19 @@ def paragraphs(lines: DataFrame) -> DataFrame:
     """
     held = materialize(furniture(lines))
     texts = materialize(joined(held))
-    fixes = decoded(words_of(texts)).groupBy("line_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "meant"))).alias("fixes"))
+    fixes = decoded(words_of(texts)).groupBy("line_id").agg(F.collect_list(F.struct("word", "meant")).alias("fixes"))
     ordered = W.partitionBy("file_name").orderBy("line_no", "line_id")
     kept = held.where("fault is null").withColumn("section", F.coalesce("section", F.last("section", ignorenulls=True).over(ordered)))
     edge = (F.col("t") == "") | ~F.coalesce(F.col("section").eqNullSafe(F.lag("section").over(ordered)), F.lit(False))
     kept = kept.withColumn("paragraph_no", F.sum(edge.cast("int")).over(ordered)).where("t <> ''").join(texts.select("line_id", "hyphen"), "line_id", "left").join(fixes, "line_id", "left")
-    fixed = F.aggregate(F.map_entries(F.coalesce("fixes", F.create_map().cast("map<string,string>"))), F.col("t"), lambda acc, e: F.replace(acc, e["key"], e["value"]))
-    ended = F.when(F.col("hyphen"), F.regexp_replace(fixed, _HYPHEN + "$", "")).when(fixed.rlike(r"[\p{IsHan}，。、；：！？）》]$"), fixed).otherwise(F.concat(fixed, F.lit(" ")))
+    t = F.col("t")
+    ended = F.when(F.col("hyphen"), F.regexp_replace(t, _HYPHEN + "$", "")).when(t.rlike(r"[\p{IsHan}，。、；：！？）》]$"), t).otherwise(F.concat(t, F.lit(" ")))
     return (
         kept.withColumn("piece", ended)
         .groupBy("file_name", "section", "paragraph_no")
-        .agg(F.trim(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line_id", "piece"))), lambda x: x["piece"]), "")).alias("text"))
+        .agg(
+            F.trim(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line_id", "piece"))), lambda x: x["piece"]), "")).alias("text"),
+            F.array_distinct(F.flatten(F.collect_list("fixes"))).alias("fixes"),
+        )
+        .select("file_name", "section", "paragraph_no", F.aggregate("fixes", F.col("text"), lambda acc, e: F.replace(acc, e["word"], e["meant"])).alias("text"))
     )

@@ -27,9 +27,9 @@ from graphloom.session import materialize, small_batches
 
 LEAST = 60
 #: Floors of the calibrated thresholds.
-LISTED_FLOOR, STUFFED_FLOOR = 0.55, 1.7
+LISTED_FLOOR, STUFFED_FLOOR = 0.55, 1.2
 #: Least share of the most frequent pair for keyword stuffing; most prose in a list; signs that a list is spam.
-PAIR_SHARE, PROSE_MOST = 0.06, 0.4
+PAIR_SHARE, PROSE_MOST = 0.08, 0.4
 SIGNS = {"separators": 0.08, "top_word": 0.08, "repeated": 0.2, "linked": 0.3}
 # Function words.
 FUNCTION_WORDS = {
