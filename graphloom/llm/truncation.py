@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.charfold import _tables
+from graphloom.session import materialize
 
 #: Occurrences from which a trigram, or else a bigram, is trusted.
 EVIDENCE = 5
@@ -29,8 +30,10 @@ SALTS = 16
 
 _LETTER = r"A-Za-z\\x{C0}-\\x{24F}\\x{300}-\\x{52F}"
 _CJK = r"\\x{3040}-\\x{30FF}\\x{3400}-\\x{4DBF}\\x{4E00}-\\x{9FFF}"
-#: Steps of the statement, each a common table expression over ``texts`` (rec_id, field_name, feed, asked, text).
-_STEPS = {
+#: Steps of the statements, each a common table expression over ``texts`` (rec_id, field_name, feed, asked, text). The
+#: last step of a statement is held as a table, so that what several later steps read is computed once.
+_STATEMENTS = {
+  "worded": {
     "plain": "SELECT rec_id, field_name, feed, asked, trim(translate(text, '{source}', '{target}')) AS t FROM texts WHERE text IS NOT NULL",
     "bare": r"""SELECT rec_id, field_name, feed, asked, t RLIKE '[.。!?！？]$' AND NOT t RLIKE '(\\.\\.|…|\\x{{FFFD}})$' AS whole,
         regexp_replace(t, '(\\s|…|\\.{{2,}}|\\x{{FFFD}})+$', '') AS t FROM plain WHERE t <> ''""",
@@ -38,11 +41,13 @@ _STEPS = {
         regexp_replace(regexp_replace(t, '[A-Za-z0-9]*[A-Za-z][A-Za-z0-9]*_\\w*|[A-Za-z]*[a-z][A-Z]\\w*', '<N>'), '0x[0-9A-Fa-f]*|[0-9]+', '<#>') AS t FROM bare WHERE t <> ''""",
     "worded": """SELECT rec_id, field_name, feed, asked, whole,
         concat(array('^', '^'), regexp_extract_all(t, '<N>|<#>|[{letter}]+(?:[-''][{letter}]+)*|[{cjk}]|[^\\\\s\\\\w]', 0)) AS w FROM evened""",
+  }, "counts": {
     "grams": """SELECT inline(flatten(transform(sequence(2, size(w) - 1), i -> array(
             named_struct('lv', 1, 'ctx', '', 'word', w[i], 'fin', i = size(w) - 1),
             named_struct('lv', 2, 'ctx', w[i - 1], 'word', w[i], 'fin', i = size(w) - 1),
             named_struct('lv', 3, 'ctx', concat(w[i - 2], ' ', w[i - 1]), 'word', w[i], 'fin', i = size(w) - 1))))) FROM worded WHERE size(w) > 2""",
     "counts": "SELECT lv, ctx, word, count_if(NOT fin) AS n_in, count_if(fin) AS n_end FROM grams GROUP BY lv, ctx, word",
+  }, "verdicts": {
     "begun": """SELECT lv, ctx, explode(transform(sequence(1, length(word) - 1), n -> left(word, n))) AS word, n_in AS n_pre
         FROM counts WHERE n_in > 0 AND length(word) > 1 AND word NOT LIKE '<%'""",
     "stats": """SELECT lv, ctx, word, sum(n_in) AS n_in, sum(n_end) AS n_end, sum(n_pre) AS n_pre FROM (
@@ -61,15 +66,16 @@ _STEPS = {
         FROM met GROUP BY rec_id, field_name, last, word""",
     "verdicts": """SELECT rec_id, field_name, max(CASE WHEN word = last OR last_alone = 0 THEN best.inner_n > best.others * CASE WHEN best.lv = 3 THEN {ratio} ELSE {short_ratio} END ELSE false END) AS cut
         FROM (SELECT *, max(CASE WHEN word = last THEN alone END) OVER (PARTITION BY rec_id, field_name) AS last_alone FROM seen) GROUP BY rec_id, field_name""",
+  },
 }
 
 
-def statement(select: str) -> str:
-    """The whole SQL statement with ``select`` as its last part."""
+def statement(last: str, select: str) -> str:
+    """The SQL statement whose steps end with ``last``, followed by ``select``."""
     source, target, _ = _tables()
     quote = lambda s: s.replace("\\", "\\\\").replace("'", "\\'")
     values = dict(source=quote(source), target=quote(target), letter=_LETTER, cjk=_CJK, salts=SALTS, evidence=EVIDENCE, ratio=RATIO, short_ratio=SHORT_RATIO)
-    return "WITH " + ",\n".join(f"{name} AS ({sql.format(**values)})" for name, sql in _STEPS.items()) + "\n" + select
+    return "WITH " + ",\n".join(f"{name} AS ({sql.format(**values)})" for name, sql in _STATEMENTS[last].items()) + "\n" + select
 
 
 def texts(entities: DataFrame) -> DataFrame:
@@ -87,8 +93,11 @@ def found(entities: DataFrame) -> DataFrame:
 
 
 def _run(entities: DataFrame, select: str) -> DataFrame:
+    spark = entities.sparkSession
     texts(entities).createOrReplaceTempView("texts")
-    return entities.sparkSession.sql(statement(select))
+    for table in ("worded", "counts"):
+        materialize(spark.sql(statement(table, f"SELECT * FROM {table}"))).createOrReplaceTempView(table)
+    return spark.sql(statement("verdicts", select))
 
 
 def report(entities: DataFrame) -> DataFrame:
@@ -96,5 +105,5 @@ def report(entities: DataFrame) -> DataFrame:
     return _run(
         entities,
         """SELECT feed, p.field_name, count(*) AS n_texts, count_if(coalesce(cut, false)) AS n_cut, round(count_if(coalesce(cut, false)) / count(*), 6) AS share
-        FROM (SELECT * FROM plain WHERE asked AND t <> '') p LEFT JOIN verdicts v ON p.rec_id = v.rec_id AND p.field_name = v.field_name GROUP BY feed, p.field_name""",
+        FROM (SELECT * FROM texts WHERE asked AND trim(text) <> '') p LEFT JOIN verdicts v ON p.rec_id = v.rec_id AND p.field_name = v.field_name GROUP BY feed, p.field_name""",
     )
