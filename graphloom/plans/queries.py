@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom.functions import text as T
-from graphloom.grammar import GENERIC, KNOWN_TYPES, OCR, TYPE_WORDS
+from graphloom.grammar import EXTRACTED_TYPES, GENERIC, KNOWN_TYPES, OCR, TYPE_WORDS
 from graphloom.operators import enrich, entities, fields, graph, lines, ops, quality, responses, segments
 from graphloom.plans import extract, refine
 from graphloom.session import small_batches, table
@@ -212,6 +212,10 @@ _SCORES = f"""(SELECT *, round_even(0.10 * least(total / 20.0, 1.0) + 0.20 * a +
     sum({' + '.join(f'CASE WHEN {_HAS[k]} THEN {w} ELSE 0 END' for k, w in quality.FIELD_WEIGHTS.items())}) / (count(*) * 8.5) AS fc, avg(length(coalesce(description, ''))) AS dl,
     sum(CASE WHEN regexp_matches(coalesce(description, ''), '{'|'.join(OCR.noise_tokens)}') THEN 1 ELSE 0 END + CASE WHEN regexp_matches(coalesce(description, ''), 'ﾉ|展开表') THEN 1 ELSE 0 END) / (count(*) * 2.0) AS no,
     avg(CASE WHEN {_HAS['syntax']} THEN 1.0 ELSE 0.0 END) AS sy FROM {_ENT} WHERE doc_id IS NOT NULL AND src IS NOT NULL GROUP BY doc_id, src))"""
+_DECIDED_SQL = f"""SELECT coalesce(p.doc_id, t.doc_id) AS doc_id, CASE WHEN t.score IS NULL THEN 'only_p' WHEN p.score IS NULL THEN 'only_t' WHEN p.score = t.score THEN printf('identical (score=%.4f)', p.score)
+    WHEN p.score - t.score >= 0.005 THEN printf('heuristic_p (p=%.3f t=%.3f)', p.score, t.score) WHEN t.score - p.score >= 0.005 THEN printf('heuristic_t (p=%.3f t=%.3f)', p.score, t.score) ELSE 'llm_pending' END AS decision,
+    CASE WHEN p.score IS NULL OR t.score - p.score >= 0.005 THEN 't' ELSE 'p' END AS winner, p.score AS p_score, t.score AS t_score
+    FROM (SELECT * FROM {_SCORES} WHERE src = 'p') p FULL OUTER JOIN (SELECT * FROM {_SCORES} WHERE src = 't') t ON p.doc_id = t.doc_id"""
 _EDIT = """(SELECT refined_id AS seq, 'windows::' || name AS entity_id, (['update_field', 'add_edge', 'delete_edge', 'add_node', 'update_field', 'delete_node', 'merge_into'])[refined_id % 7 + 1] AS op,
     (['description', 'header', 'color'])[refined_id % 3 + 1] AS field, coalesce(description, '') AS value, coalesce(header, '') AS target, name || '_NEW' AS new_name, entity_type, description FROM refined WHERE name IS NOT NULL)"""
 _RULES = " ".join(f"WHEN regexp_matches(name, '{p}') THEN '{t}'" for p, t in OCR.type_rules)
@@ -259,6 +263,25 @@ def oracle_sql() -> dict[str, str]:
         "degrees": f"SELECT id, count(*) AS degree FROM (SELECT source_id AS id FROM {_LINK} UNION ALL SELECT target_id FROM {_LINK}) GROUP BY id",
         "pending_nodes": f"SELECT id, confidence FROM {_NODE} WHERE id NOT IN (SELECT source_id FROM {_LINK}) AND coalesce(confidence, 1.0) <= 0.7 AND coalesce(entity_type, 'unknown') = 'function'",
         "edit_counts": f"SELECT op, count(*) AS n FROM {_EDIT} GROUP BY op",
+        "decisions": _DECIDED_SQL,
+        "run_totals": f"SELECT (SELECT count(*) FROM ({_DECIDED_SQL})) AS total_pairs, (SELECT count(*) FROM ({_DECIDED_SQL}) WHERE starts_with(decision, 'llm')) AS llm_compares, (SELECT count(*) FROM entities) AS total_entities, (SELECT count(*) FROM {_EDGE}) AS total_edges",
+        "self_test": f"""SELECT e.doc_id, e.src, sum(CASE WHEN coalesce(id, '') = '' THEN 1 ELSE 0 END + CASE WHEN coalesce(name, '') = '' THEN 1 ELSE 0 END + CASE WHEN coalesce(entity_type, '') = '' THEN 1 ELSE 0 END + CASE WHEN coalesce(description, '') = '' THEN 1 ELSE 0 END + CASE WHEN confidence IS NULL THEN 1 ELSE 0 END) AS missing_fields,
+            sum(CASE WHEN regexp_matches(coalesce(description, ''), '{'|'.join(OCR.noise_tokens)}') THEN 1 ELSE 0 END) AS noisy_texts, sum(CASE WHEN entity_type IS NULL THEN NULL WHEN entity_type IN ({', '.join(map(_text, EXTRACTED_TYPES))}) THEN 0 ELSE 1 END) AS invalid_types,
+            sum(CASE WHEN confidence IS NULL THEN NULL WHEN confidence BETWEEN 0 AND 1 THEN 0 ELSE 1 END) AS bad_confidence, avg(CASE WHEN entity_type IS NULL THEN NULL WHEN entity_type = 'unknown' THEN 1.0 ELSE 0.0 END) > 0.3 AS mostly_unknown, any_value(d.n) AS duplicate_ids
+            FROM {_ENT} e JOIN (SELECT doc_id, src, sum(c - 1) AS n FROM (SELECT doc_id, src, id, count(*) AS c FROM {_ENT} GROUP BY doc_id, src, id) GROUP BY doc_id, src) d ON e.doc_id = d.doc_id AND e.src = d.src GROUP BY e.doc_id, e.src""",
+        "file_meta": r"""SELECT file_name, CASE WHEN NOT ok THEN '' WHEN len(pieces) = 2 THEN pieces[1] WHEN contains(raw, '-') THEN regexp_extract(raw, '^(.*)-[^-]*$', 1) ELSE raw END AS domain,
+            CASE WHEN NOT ok THEN '' WHEN len(pieces) = 2 THEN pieces[2] WHEN contains(raw, '-') THEN regexp_extract(raw, '-([^-]*)$', 1) ELSE '' END AS topic,
+            CASE WHEN ok THEN regexp_replace(regexp_extract(f, p), p, '\2-\3-\4T\5:\6:00') ELSE '' END AS ocr_time, replace(replace(replace(file_name, '[OCR]_windows-', ''), '.p.txt', ''), '.txt', '') || '.json' AS output_name
+            FROM (SELECT *, regexp_matches(f, p) AS ok, regexp_extract(f, p, 1) AS raw, string_split(regexp_extract(f, p, 1), '-_') AS pieces FROM (
+            SELECT DISTINCT file_name, replace(file_name, '[OCR]_', '[OCR]_windows-') AS f, '^\[OCR\]_windows-(.+?)_([0-9]{4})([0-9]{2})([0-9]{2})_([0-9]{2})([0-9]{2})' AS p FROM ocr_lines WHERE file_name IS NOT NULL))""",
+        "resolved_references": rf"""WITH e AS (SELECT document_id AS doc_id, src, name, concat_ws(' ', description, remarks) AS t FROM entities WHERE name IS NOT NULL AND document_id IS NOT NULL AND src IS NOT NULL),
+            r AS (SELECT DISTINCT doc_id, src, name, unnest(list_filter(string_split_regex(t, '[^\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}\x{{200c}}\x{{200d}}]+'), lambda w: regexp_full_match(w, '[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)+') OR (regexp_full_match(w, '[A-Z][a-z][a-zA-Z0-9]{{2,}}') AND NOT {_STOP.format(n="w")}))) AS ref FROM e)
+            SELECT doc_id, src, name, list_sort(list(DISTINCT ref)) AS cross_references FROM r WHERE ref <> name AND (ref IN (SELECT name FROM name_index WHERE name IS NOT NULL) OR (doc_id, src, ref) IN (SELECT doc_id, src, name FROM e)) GROUP BY doc_id, src, name""",
+        "replayed_nodes": f"""WITH o AS (SELECT * FROM {_EDIT}), d AS (SELECT DISTINCT entity_id FROM o WHERE op = 'delete_node'), n AS (SELECT * FROM {_NODE}),
+            u AS (SELECT entity_id, field, arg_max(value, seq) AS v FROM o WHERE op = 'update_field' AND entity_id NOT IN (SELECT entity_id FROM d) GROUP BY entity_id, field),
+            a AS (SELECT 'windows::' || new_name AS id, arg_min(new_name, seq) AS name, arg_min_null(description, seq) AS description FROM o WHERE op = 'add_node' AND entity_id NOT IN (SELECT entity_id FROM d) GROUP BY 1)
+            SELECT n.id, n.name, coalesce(x.v, n.description) AS description, coalesce(y.v, n.header) AS header FROM n LEFT JOIN u x ON x.entity_id = n.id AND x.field = 'description' LEFT JOIN u y ON y.entity_id = n.id AND y.field = 'header'
+            WHERE n.id NOT IN (SELECT entity_id FROM d) UNION ALL SELECT id, name, description, NULL FROM a WHERE id NOT IN (SELECT id FROM n)""",
         "type_tokens": f"SELECT DISTINCT rec_id, unnest({_tokens('p.type')}) AS token FROM (SELECT rec_id, unnest(parameters) AS p FROM entities)",
         "typed_index": f"SELECT entity_id AS id, name, {_TYPE} AS entity_type FROM entities WHERE entity_id <> '' AND name <> ''",
         "segment_lines": f"""WITH {classified},
