@@ -171,6 +171,23 @@ def type_tokens(c: Column) -> Column:
     return F.filter(bare, lambda w: w.rlike("^[A-Za-z_][A-Za-z0-9_]*$") & ~F.lower(w).isin(*TYPE_WORDS))
 
 
+def fixed(c: Column, digits: int) -> Column:
+    """A number below 1 in size with ``digits`` decimals, rounded by its exact binary value.
+
+    ``format_string`` rounds the shortest decimal form instead, which differs where that ends in a 5. The number times
+    2^60 is a whole number (from 0.01 on), so the rest of the work is exact in decimals.
+    """
+    unit = F.lit(1 << 60).cast("decimal(20,0)")
+
+    def shown(q: Column) -> Column:
+        return let(q % unit, lambda r: let(((q - r) / unit).cast("long"), lambda n: n + F.when((r * 2 > unit) | ((r * 2 == unit) & (n % 2 == 1)), 1).otherwise(0)))
+
+    scaled = (F.abs(c) * F.lit(float(1 << 60))).cast("long").cast("decimal(20,0)") * F.lit(10**digits).cast("decimal(7,0)")
+    whole = let(scaled, shown)
+    text = let(whole, lambda n: F.concat(F.floor(n / 10**digits).cast("string"), F.lit("."), F.lpad((n % 10**digits).cast("string"), digits, "0")))
+    return F.when(c < 0, F.concat(F.lit("-"), text)).otherwise(text)
+
+
 def short_hash(c: Column) -> Column:
     """First 12 hexadecimal digits of the SHA-256 of a text."""
     return F.substring(F.sha2(c, 256), 1, 12)

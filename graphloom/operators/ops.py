@@ -146,7 +146,7 @@ def replay(nodes: DataFrame, edges: DataFrame, ops: DataFrame, strict: bool = Tr
             edited = new if types[c] == "string" else new.cast("boolean") if types[c] == "boolean" else F.from_json(new, types[c])
             kept = kept.withColumn(c, F.when(F.coalesce(F.array_contains(F.map_keys("edits"), c), F.lit(False)), edited).otherwise(F.col(c)))
         if c in fills:
-            kept = kept.withColumn(c, F.when(empty(c), F.col(f"from_{c}")).otherwise(F.col(c)))
+            kept = kept.withColumn(c, F.when(empty(c) & F.col(f"from_{c}").isNotNull(), F.col(f"from_{c}")).otherwise(F.col(c)))
     made = added.select(
         *[
             F.col(c) if c in ("id", "name", "description") else F.coalesce("entity_type", F.lit("unknown")).alias(c) if c == "entity_type" else F.lit(0.7).alias(c) if c == "confidence"

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.functions import text as T
 from graphloom.grammar import EXTRACTED_TYPES, OCR, Grammar
 from graphloom.operators.lines import DOC
 
@@ -51,10 +52,10 @@ def decide(variants: DataFrame, scored: DataFrame) -> DataFrame:
     side = lambda s: variants.where(F.col("src") == s).join(score, [*DOC], "left").select("doc_id", F.coalesce("score", F.lit(0.0)).alias(f"{s}_score"))
     both = side("p").join(side("t"), "doc_id", "full_outer")
     p, t = F.col("p_score"), F.col("t_score")
-    shown = F.format_string("(p=%.3f t=%.3f)", p, t)
+    shown = F.concat(F.lit("(p="), T.fixed(p, 3), F.lit(" t="), T.fixed(t, 3), F.lit(")"))
     decision = (
         F.when(p.isNull() & t.isNull(), "none").when(t.isNull(), "only_p").when(p.isNull(), "only_t")
-        .when(p == t, F.format_string("identical (score=%.4f)", p))
+        .when(p == t, F.concat(F.lit("identical (score="), T.fixed(p, 4), F.lit(")")))
         .when(p - t >= DECIDED, F.concat(F.lit("heuristic_p "), shown)).when(t - p >= DECIDED, F.concat(F.lit("heuristic_t "), shown))
         .otherwise("llm_pending")
     )

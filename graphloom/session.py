@@ -25,8 +25,18 @@ def local_session(cpus: int = 8, app: str = "graphloom", memory: str = "12g") ->
     )
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where it lies, whatever folder the session was started in."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    held = spark.sparkContext.environment
+    paths = held.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        held["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data folder."""
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

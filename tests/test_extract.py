@@ -135,6 +135,12 @@ def test_file_meta(spark):
     assert v["c"] == {"domain": "win32", "topic": "midl", "ocr_time": "2026-03-05T02:03:00"} and v["d"] == "a-_b_1.json"
 
 
+def test_numbers_are_rounded_by_their_binary_value(spark):
+    xs = [0.5465, 0.4715, 0.6665, 0.0, 0.9985, 0.125, 0.0625, 0.444536, 0.9, 0.1, -0.0125]
+    rows = spark.createDataFrame([(x,) for x in xs], "x double").select("x", T.fixed(F.col("x"), 3).alias("a"), T.fixed(F.col("x"), 4).alias("b")).collect()
+    assert all((r.a, r.b) == (f"{r.x:.3f}", f"{r.x:.4f}") for r in rows)
+
+
 def test_field_parsers_on_empty_and_null(spark):
     for c in (F.array().cast("array<string>"), F.array(F.lit(""), F.lit("ﾉ"))):
         v = values(spark, p=fields.parameters(c), m=fields.members(c), r=fields.return_value(c), q=fields.requirements(c))
