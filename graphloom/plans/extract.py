@@ -32,7 +32,7 @@ class Extraction:
 
 def entities_of(line_rows: DataFrame, g: Grammar = OCR, lexicon: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(entities, lexicon) of lines (doc_id, src, line_no, text)."""
-    classified = lines.classify(line_rows, g)
+    classified = materialize(lines.classify(line_rows, g))
     names = lexicon if lexicon is not None else lines.lexicon(classified)
     merged = materialize(E.merged(E.parsed(segments.segments(segments.segment_lines(classified)), g)))
     return E.finished(merged, E.cross_references(merged, names, g), g), names

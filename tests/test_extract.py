@@ -130,9 +130,9 @@ def test_scalars(spark):
 
 
 def test_file_meta(spark):
-    v = values(spark, a=T.file_meta(F.lit("[OCR]_windows-win32-api-_nap_20260305_0156.p.txt")), b=T.file_meta(F.lit("x.txt")), c=T.file_meta(F.lit("[OCR]_windows-win32-midl_20260305_0203.txt")), d=T.output_name(F.lit("[OCR]_windows-a-_b_1.p.txt")))
-    assert v["a"] == {"domain": "win32-api", "topic": "nap", "ocr_time": "2026-03-05T01:56:00"} and v["b"]["domain"] == ""
-    assert v["c"] == {"domain": "win32", "topic": "midl", "ocr_time": "2026-03-05T02:03:00"} and v["d"] == "a-_b_1.json"
+    v = values(spark, a=T.file_meta(F.lit("[OCR]_windows-some-api-_widget_20260102_0304.p.txt")), b=T.file_meta(F.lit("x.txt")), c=T.file_meta(F.lit("[OCR]_windows-other-thing_20260305_0203.txt")), d=T.output_name(F.lit("[OCR]_windows-a-_b_1.p.txt")))
+    assert v["a"] == {"domain": "some-api", "topic": "widget", "ocr_time": "2026-01-02T03:04:00"} and v["b"]["domain"] == ""
+    assert v["c"] == {"domain": "other", "topic": "thing", "ocr_time": "2026-03-05T02:03:00"} and v["d"] == "a-_b_1.json"
 
 
 def test_numbers_are_rounded_by_their_binary_value(spark):
