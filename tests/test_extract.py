@@ -35,8 +35,7 @@ flags
 标头 widget.h
 Widget.lib
 Windows 8 [桌面应用]
-另请参阅
-OpenWidget
+另请参阅 OpenWidget
 OpenWidget 打开一个部件以供使用。
 常量
 OPEN_WIDGET_FLAGS 打开部件时使用的标志。 NEXT_WIDGET_FLAGS
