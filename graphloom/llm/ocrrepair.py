@@ -9,7 +9,8 @@ letter. Halves are joined before words are looked at.
 
 Characters: a noisy channel. Words (parts of identifiers, single ideographs) are counted over the whole corpus, and
 so are their pairs. Candidates for a word undo confusions: fixed pairs of Latin characters, and pairs of ideographs
-learned from the corpus, where one stands in a place that nearly always holds the other. A line with candidates is
+learned from the corpus, where one stands in a place that nearly always holds the other. An ideograph with uses of
+its own may be a misread one too: its own places then keep it, the others change it. A line with candidates is
 decoded by Viterbi: confusion probability times pair likelihood. All counts are tables that are joined by word or
 pair; none is broadcast or gathered, apart from the confusions, which are bounded by the alphabet.
 
@@ -45,14 +46,19 @@ STRICT, LOOSE, RARE = (8, 15), (4, 4), 10
 STRICT_SHARE, LOOSE_SHARE = 0.3, 0.5
 #: Share of its occurrences, by any kind of place, in places that an ideograph itself holds most often: above it, it is no misreading.
 OWN_SHARE = 0.1
+#: Places that must speak strictly for a confusion of an ideograph whatever else it is used for.
+PLACES = 4
 #: A word may be a misread one if it is met at most so often, and so often for each time its candidate is met.
 FREE, RATE = 2, 0.08
 #: The rate for a word with a digit among its letters.
 MIXED_RATE = 0.25
 #: Prior odds that such a word is right, and the likelihood of a pair that was never met.
 GENUINE, UNMET = 0.02, 1e-3
+#: Power of a candidate's frequency in its likelihood.
+WEIGHT = 0.3
 
 _PART = re.compile(r"[A-Z0-9][A-Z0-9]+(?![a-z0-9])|[A-Z]?[a-z0-9À-ɏ̀-ͯЀ-ӿ]+|[A-Z0-9]+(?![a-z])|[A-Z]|[㐀-鿿]|[぀-ヿ]+|[。，、；：！？,.;:!?]")
+HAN = r"^[\x{3400}-\x{9FFF}]$"
 _HYPHEN = "[-\\x{2010}\\x{2011}\\x{AD}\\x{AC}]"
 _PAGE = r"^(?:第\s*[0-9OoIl]+\s*[页頁]|[-—–]\s*[0-9OoIl]+\s*[-—–]|(?:Page|page|PAGE|Pagc|Pa9e|p\.)\s*[0-9OoIl]+(?:\s*(?:of|0f|/)\s*[0-9OoIl]+)?|≦\s*[0-9OoIl]+\s*≧|[0-9]+\s*/\s*[0-9]+|\[\s*[0-9]+\s*\])$"
 
@@ -130,35 +136,54 @@ def _pairs(words: DataFrame) -> DataFrame:
     return words.where("size(words) > 0").select(F.explode(both).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
 
 
-def learned(words: DataFrame, counts: DataFrame) -> DataFrame:
-    """(seen, meant, p) of ideographs: pairs where one stands in places that nearly always hold the other.
+def _places(words: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """(line_id, at, kind, a, b, x): the places of every ideograph, or of those in ``only`` (seen), a few.
 
-    A place is the two words before, the two after, or the one on each side. Grouped by place, its most frequent
-    ideograph is told from rare ones; only distinct places with their counts meet, not lines. A pair is a confusion
-    if enough of the seen one's occurrences, by one kind of place, speak for the same meant one.
+    A place is the two words before, the two after, or the one on each side.
     """
-    han = r"^[\x{3400}-\x{9FFF}]$"
     at = "if(i + {0} < 0, '^', if(i + {0} >= size(words), '$', words[i + {0}]))"
     sides = {"around": (-1, 1), "before": (-2, -1), "after": (1, 2)}
-    structs = ", ".join(f"struct('{kind}' AS kind, {at.format(u)} AS a, {at.format(v)} AS b, words[i] AS x)" for kind, (u, v) in sides.items())
+    structs = ", ".join(f"struct(i AS at, '{kind}' AS kind, {at.format(u)} AS a, {at.format(v)} AS b, words[i] AS x)" for kind, (u, v) in sides.items())
     place = F.expr(f"flatten(transform(sequence(0, size(words) - 1), i -> array({structs})))")
-    ideographs = counts.where(F.col("word").rlike(han))
     telling = ~(((F.col("kind") == "before") & (F.col("a") == "^")) | ((F.col("kind") == "after") & (F.col("b") == "$")))
-    places = words.where("size(words) > 1").select(F.inline(place)).where(F.col("x").rlike(han) & telling).groupBy("kind", "a", "b", "x").agg(F.count("*").alias("n"))
-    top = places.groupBy("kind", "a", "b").agg(F.max(F.struct("n", "x")).alias("top")).where(F.col("top.n") >= LOOSE[0])
+    out = words.where("size(words) > 1").select("line_id", F.inline(place)).where(F.col("x").rlike(HAN) & telling)
+    return out if only is None else out.join(F.broadcast(only.select(F.col("seen").alias("x"))), "x", "left_semi")
+
+
+def _tops(places: DataFrame) -> DataFrame:
+    """Places by their most frequent ideograph, those that are met often enough to tell."""
+    return places.groupBy("kind", "a", "b").agg(F.max(F.struct("n", "x")).alias("top")).where(F.col("top.n") >= LOOSE[0])
+
+
+def learned(places: DataFrame, counts: DataFrame) -> DataFrame:
+    """(seen, meant, p, used) of ideographs: pairs where one stands in places that nearly always hold the other.
+
+    Grouped by place, its most frequent ideograph is told from rare ones; only distinct ``places`` with their counts
+    ``n`` meet, not lines. A pair is a confusion if enough of the seen one's occurrences, by one kind of place, speak
+    for the same meant one. It also is one if ``PLACES`` places do so strictly, however often the seen one is
+    ``used`` elsewhere: the odds of misreading are then those of the meant one's occurrences at such places against
+    the seen one's others, and ``p`` gives them to the decoding, which weighs it against ``GENUINE`` and by frequency.
+    """
+    ideographs = counts.where(F.col("word").rlike(HAN))
+    top = _tops(places)
     odd = places.join(top, ["kind", "a", "b"]).where((F.col("x") != F.col("top.x")) & (F.col("n") * LOOSE[1] <= F.col("top.n")))
     strict = (F.col("kind") == "around") & (F.col("top.n") >= STRICT[0]) & (F.col("n") * STRICT[1] <= F.col("top.n"))
-    evidence = odd.groupBy("kind", F.col("x").alias("seen"), F.col("top.x").alias("meant")).agg(F.sum(F.when(strict, F.col("n")).otherwise(0)).alias("e_strict"), F.sum("n").alias("e"))
+    evidence = odd.groupBy("kind", F.col("x").alias("seen"), F.col("top.x").alias("meant")).agg(F.sum(F.when(strict, F.col("n")).otherwise(0)).alias("e_strict"), F.sum("n").alias("e"), F.sum(strict.cast("int")).alias("places"))
     at_home = places.join(top, ["kind", "a", "b"]).where(F.col("x") == F.col("top.x")).groupBy("kind", F.col("x").alias("seen")).agg(F.sum("n").alias("own")).groupBy("seen").agg(F.max("own").alias("own"))
-    strongest = evidence.groupBy("seen", "meant").agg(F.max("e_strict").alias("e_strict"), F.max("e").alias("e"))
+    strongest = evidence.groupBy("seen", "meant").agg(F.max("e_strict").alias("e_strict"), F.max("e").alias("e"), F.max("places").alias("places"))
+    held = top.where((F.col("kind") == "around") & (F.col("top.n") >= STRICT[0])).groupBy(F.col("top.x").alias("meant")).agg(F.sum("top.n").alias("n_held"))
     by_strict = (F.col("e_strict") >= STRICT_SHARE * F.col("n_seen")) & (F.col("n_meant") >= 2 * F.col("n_seen"))
     by_loose = (F.col("e") >= LOOSE_SHARE * F.col("n_seen")) & (F.col("n_meant") >= RARE * F.col("n_seen"))
+    by_share = (by_strict | by_loose) & (F.coalesce("own", F.lit(0)) <= OWN_SHARE * F.col("n_seen"))
+    misread = F.least(F.col("e_strict") / F.col("n_held") * F.col("n_meant"), 0.5 * F.col("n_seen"))
+    odds = misread / (F.col("n_seen") - misread)
     return (
         strongest.join(ideographs.select(F.col("word").alias("seen"), F.col("n").alias("n_seen")), "seen")
         .join(ideographs.select(F.col("word").alias("meant"), F.col("n").alias("n_meant")), "meant")
         .join(at_home, "seen", "left")
-        .where((by_strict | by_loose) & (F.coalesce("own", F.lit(0)) <= OWN_SHARE * F.col("n_seen")))
-        .select("seen", "meant", F.least(F.lit(0.5), F.col("e") / F.col("n_seen")).alias("p"))
+        .join(held, "meant", "left")
+        .where(by_share | (F.col("places") >= PLACES))
+        .select("seen", "meant", F.when(by_share, F.least(F.lit(0.5), F.col("e") / F.col("n_seen"))).otherwise(GENUINE * odds / F.pow("n_meant", F.lit(WEIGHT))).alias("p"), (~by_share).alias("used"))
     )
 
 
@@ -216,22 +241,29 @@ def viterbi(words: list[str], options: dict[int, list[tuple[str, float, int]]],
         before = words[run[0] - 1] if run[0] else "^"
         states: list[tuple[float, list[str], str]] = [(0.0, [], before)]
         for i in run:
-            here = [(words[i], math.log(GENUINE), own.get(i, 1)), *((m, math.log(p) + 0.3 * math.log(n), n) for m, p, n in options[i])]
+            here = [(words[i], math.log(GENUINE), own.get(i, 1)), *((m, math.log(p) + WEIGHT * math.log(n), n) for m, p, n in options[i])]
             held = here
             states = [
-                max(((s + emit + _link(pairs, prev, w, n, w == words[i]), [*path, w], w) for s, path, prev in states), key=lambda x: x[0])
+                max(((s + emit + _link(pairs, f"{prev} {{}}", w, n, options[i] if w == words[i] else None), [*path, w], w) for s, path, prev in states), key=lambda x: x[0])
                 for w, emit, n in here
             ]
         after = words[run[-1] + 1] if run[-1] + 1 < len(words) else "$"
         times = {w: n for w, _, n in held}
-        best = max(states, key=lambda s: s[0] + _link(pairs, s[2], after, times[s[2]], s[2] == words[run[-1]]))
+        best = max(states, key=lambda s: s[0] + _link(pairs, f"{{}} {after}", s[2], times[s[2]], options[run[-1]] if s[2] == words[run[-1]] else None))
         changed |= {i: w for i, w in zip(run, best[1]) if w != words[i]}
     return changed
 
 
-def _link(pairs: dict[str, int], a: str, b: str, n: int, itself: bool) -> float:
-    """Log of the share of a word's ``n`` occurrences that stand in this pair; a word as read does not count itself."""
-    return math.log(max(0, pairs.get(f"{a} {b}", 0) - itself) / max(1, n) + UNMET)
+def _link(pairs: dict[str, int], place: str, w: str, n: int, rivals: list[tuple[str, float, int]] | None) -> float:
+    """Log of the share of a word's ``n`` occurrences that stand in this pair.
+
+    A word as read, which has ``rivals``, does not count itself. An ideograph does not count those either that
+    misreading a rival explains, since the same confusion is made again wherever the rival stands.
+    """
+    met = pairs.get(place.format(w), 0) - (rivals is not None)
+    if rivals and len(w) == 1 and any(met < FREE + RATE * k and k >= 4 * met for k in (pairs.get(place.format(m), 0) for m, _, _ in rivals)):
+        met = 0
+    return math.log(max(0, met) / max(1, n) + UNMET)
 
 
 def _first_difference(a: str, b: str) -> int:
@@ -239,11 +271,19 @@ def _first_difference(a: str, b: str) -> int:
 
 
 def decoded(words: DataFrame) -> DataFrame:
-    """(line_id, at, word, meant) of every misread word, on the line that holds the wrong character."""
+    """(line_id, at, word, meant) of every misread word, on the line that holds the wrong character.
+
+    An ideograph that is used rightly elsewhere is left as it is in places that it holds too often for a misread one.
+    """
     words = materialize(words)
     counts = materialize(words.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")))
-    options = candidates(counts, learned(words, counts))
-    spread = words.select("line_id", F.posexplode("words").alias("at", "word"))
+    places = materialize(_places(words).groupBy("kind", "a", "b", "x").agg(F.count("*").alias("n")))
+    confusions = materialize(learned(places, counts))
+    options = candidates(counts, confusions)
+    used = confusions.where("used").select("seen").distinct()
+    own = places.join(_tops(places), ["kind", "a", "b"]).where((F.col("n") >= LOOSE[0]) & (F.col("n") * LOOSE[1] > F.col("top.n"))).select("kind", "a", "b", "x")
+    at_home = _places(words, used).join(own, ["kind", "a", "b", "x"], "left_semi").select("line_id", "at").distinct()
+    spread = words.select("line_id", F.posexplode("words").alias("at", "word")).join(at_home, ["line_id", "at"], "left_anti")
     open_ = spread.join(options, "word").groupBy("line_id").agg(F.collect_list(F.struct("at", "n_word", "options")).alias("open"))
     lattices = materialize(words.join(open_, "line_id"))
 
