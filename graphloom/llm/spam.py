@@ -6,7 +6,8 @@ the share of its most frequent word, its most frequent pair of words per sentenc
 the separators per word and the share of link text. A short honest opening changes shares little.
 
 Thresholds follow each language's own documents with prose: the median plus three times the distance to the 90th
-percentile, never below a floor. In a language whose function words are not known, units that end as a sentence
+percentile, never below a floor or above a bound. Copies count once and suspected spam not at all, so that spam cannot
+raise its own threshold. In a language whose function words are not known, units that end as a sentence
 count as prose.
 
 Features are computed where the documents are; only quantiles per language, a handful of rows, are gathered.
@@ -28,6 +29,8 @@ from graphloom.session import materialize, small_batches
 LEAST = 60
 #: Floors of the calibrated thresholds.
 LISTED_FLOOR, STUFFED_FLOOR = 0.55, 1.2
+#: Their bounds: all of a text, and a pair of words three times in two sentences, which no language's prose holds.
+LISTED_MOST, STUFFED_MOST = 1.0, 1.5
 #: Least share of the most frequent pair for keyword stuffing; most prose in a list; signs that a list is spam.
 PAIR_SHARE, PROSE_MOST = 0.08, 0.4
 SIGNS = {"separators": 0.08, "top_word": 0.08, "repeated": 0.2, "linked": 0.3}
@@ -51,7 +54,7 @@ _SENTENCE = re.compile(r"(?<=[。！？])|(?<=[.!?])\s+")
 _SPLIT = re.compile(r"[。！？!?]|\.\s|\n")
 _SEPARATOR = re.compile(r"[|,;/·•、，；#※>»\n\t]|[：:]\s?$")
 _ENDED = re.compile(r"[.!?。！？][\"')）」』]?\s*$")
-FEATURES = "doc_id long, language string, n long, prose double, listed double, linked double, top_word double, pair_share double, stuffed double, repeated double, separators double"
+FEATURES = "doc_id long, text_hash long, language string, n long, prose double, listed double, linked double, top_word double, pair_share double, stuffed double, repeated double, separators double"
 
 
 def units(text: str) -> Iterator[str]:
@@ -135,20 +138,22 @@ def document_features(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [f.split()[0] for f in FEATURES.split(", ")]
         for b in batches:
-            yield pd.DataFrame([(i, *features(t)) for i, t in zip(b["doc_id"], b["text"])], columns=names)
+            yield pd.DataFrame([(i, h, *features(t)) for i, h, t in zip(b["doc_id"], b["text_hash"], b["text"])], columns=names)
 
-    return docs.select("doc_id", "text").where("doc_id is not null and text is not null and text <> ''").mapInPandas(run, FEATURES)
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").where("doc_id is not null and text is not null and text <> ''").mapInPandas(run, FEATURES)
 
 
 def thresholds(held: DataFrame) -> DataFrame:
-    """Calibrated thresholds per language, one row each, from documents with enough prose to be no list."""
+    """Calibrated thresholds per language, one row each, from distinct texts with enough prose to be no list, unless suspected."""
     q = lambda c: F.percentile_approx(c, [0.5, 0.9], 1000)
-    at = lambda x, floor: F.greatest(F.lit(floor), x[0] + 3 * (x[1] - x[0]))
+    at = lambda x, floor, most: F.least(F.lit(most), F.greatest(F.lit(floor), x[0] + 3 * (x[1] - x[0])))
+    suspected = (F.col("stuffed") >= STUFFED_FLOOR) & (F.col("pair_share") >= PAIR_SHARE)
     return (
-        held.where((F.col("n") >= LEAST) & (F.col("prose") >= PROSE_MOST))
+        held.where((F.col("n") >= LEAST) & (F.col("prose") >= PROSE_MOST) & ~suspected)
+        .dropDuplicates(["text_hash"])
         .groupBy("language")
         .agg(q("listed").alias("l"), q("stuffed").alias("s"), F.count("*").alias("n_docs"))
-        .select("language", "n_docs", at(F.col("l"), LISTED_FLOOR).alias("listed_from"), at(F.col("s"), STUFFED_FLOOR).alias("stuffed_from"))
+        .select("language", "n_docs", at(F.col("l"), LISTED_FLOOR, LISTED_MOST).alias("listed_from"), at(F.col("s"), STUFFED_FLOOR, STUFFED_MOST).alias("stuffed_from"))
     )
 
 
@@ -161,7 +166,7 @@ def scored(docs: DataFrame) -> DataFrame:
     sign = F.lit(False)
     for name, least in SIGNS.items():
         sign = sign | (F.col(name) >= least)
-    listed = (F.col("listed") >= F.least(F.lit(1.0), F.coalesce("listed_from", F.lit(LISTED_FLOOR)))) & (F.col("prose") < PROSE_MOST) & sign
+    listed = (F.col("listed") >= F.coalesce("listed_from", F.lit(LISTED_FLOOR))) & (F.col("prose") < PROSE_MOST) & sign
     stuffed = (F.col("stuffed") >= F.coalesce("stuffed_from", F.lit(STUFFED_FLOOR))) & (F.col("pair_share") >= PAIR_SHARE)
     joined = held.join(F.broadcast(thresholds(held)), "language", "left")
     which = F.when(F.col("n") < LEAST, None).when(listed & (F.col("linked") >= 0.5), "links").when(listed, "list").when(stuffed, "keywords")

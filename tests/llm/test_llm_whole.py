@@ -1,6 +1,6 @@
 """Cases that rules over the whole corpus used to lose."""
 
-from graphloom.llm import ocrrepair
+from graphloom.llm import ocrrepair, spam
 
 
 def test_misread_ideograph_with_uses_of_its_own(spark):
@@ -11,3 +11,13 @@ def test_misread_ideograph_with_uses_of_its_own(spark):
     lines = spark.createDataFrame(rows, "line_id long, document_id string, src string, file_name string, line_no int, section string, text string")
     first = 1 + len(texts)
     assert {r.line_id for r in ocrrepair.found(lines).where("fault = 'misread'").collect()} == set(range(first, first + len(wrong)))
+
+
+def test_spam_does_not_raise_its_own_threshold(spark):
+    honest = [f"The caller must open handle {i} before it uses the queue. If the queue is empty, the call returns at once. " * 4 for i in range(40)]
+    copies = ["If you need the Widget driver, keep the Widget driver. " * 10] * 20
+    others = [f"If you need the Cable{i} modem, keep the Cable{i} modem. " * 10 for i in range(8)]
+    weaker = ["The Widget driver is here and not there. The Widget driver is the Widget driver. " * 10]
+    pages = [*honest, *copies, *others, *weaker]
+    docs = spark.createDataFrame(list(enumerate(pages)), "doc_id long, text string")
+    assert {r.doc_id for r in spam.found(docs).collect()} == set(range(len(honest), len(pages)))
