@@ -7,7 +7,8 @@ never ends one was cut; where a trigram is too rare to tell, the bigram and then
 
 Words are evened out first: identifiers and numbers become one word each, so that a phrase that may end a text is
 recognised whatever name it holds. A word of a text that ends in one of the corpus's own identifiers cut short is
-looked up as an identifier too. Counts cover all texts; the join is salted, so that an ending held by a third of
+looked up as an identifier too. Counts cover all texts, each once however many rows hold it, with or without a mark
+left by the cut, since copies of one cut prove nothing about it; the join is salted, so that an ending held by a third of
 all rows is spread out.
 
 Defined results. Null, empty and blank texts are no cases, nor is a text that ends in a sentence mark. A mark left
@@ -37,15 +38,16 @@ _STATEMENTS = {
     "plain": "SELECT rec_id, field_name, feed, asked, trim(translate(text, '{source}', '{target}')) AS t FROM texts WHERE text IS NOT NULL",
     "bare": r"""SELECT rec_id, field_name, feed, asked, t RLIKE '[.。!?！？]$' AND NOT t RLIKE '(\\.\\.|…|\\x{{FFFD}})$' AS whole,
         regexp_replace(t, '(\\s|…|\\.{{2,}}|\\x{{FFFD}})+$', '') AS t FROM plain WHERE t <> ''""",
-    "evened": r"""SELECT rec_id, field_name, feed, asked, whole,
+    "evened": r"""SELECT rec_id, field_name, feed, asked, whole, xxhash64(t) AS text_hash,
         regexp_replace(regexp_replace(t, '[A-Za-z0-9]*[A-Za-z][A-Za-z0-9]*_\\w*|[A-Za-z]*[a-z][A-Z]\\w*', '<N>'), '0x[0-9A-Fa-f]*|[0-9]+', '<#>') AS t FROM bare WHERE t <> ''""",
-    "worded": """SELECT rec_id, field_name, feed, asked, whole,
+    "worded": """SELECT rec_id, field_name, feed, asked, whole, text_hash,
         concat(array('^', '^'), regexp_extract_all(t, '<N>|<#>|[{letter}]+(?:[-''][{letter}]+)*|[{cjk}]|[^\\\\s\\\\w]', 0)) AS w FROM evened""",
   }, "counts": {
+    "held": "SELECT any_value(w) AS w FROM worded WHERE size(w) > 2 GROUP BY text_hash",
     "grams": """SELECT inline(flatten(transform(sequence(2, size(w) - 1), i -> array(
             named_struct('lv', 1, 'ctx', '', 'word', w[i], 'fin', i = size(w) - 1),
             named_struct('lv', 2, 'ctx', w[i - 1], 'word', w[i], 'fin', i = size(w) - 1),
-            named_struct('lv', 3, 'ctx', concat(w[i - 2], ' ', w[i - 1]), 'word', w[i], 'fin', i = size(w) - 1))))) FROM worded WHERE size(w) > 2""",
+            named_struct('lv', 3, 'ctx', concat(w[i - 2], ' ', w[i - 1]), 'word', w[i], 'fin', i = size(w) - 1))))) FROM held""",
     "counts": "SELECT lv, ctx, word, count_if(NOT fin) AS n_in, count_if(fin) AS n_end FROM grams GROUP BY lv, ctx, word",
   }, "verdicts": {
     "begun": """SELECT lv, ctx, explode(transform(sequence(1, length(word) - 1), n -> left(word, n))) AS word, n_in AS n_pre

@@ -1,6 +1,6 @@
 """Cases that rules over the whole corpus used to lose."""
 
-from graphloom.llm import ocrrepair, spam
+from graphloom.llm import ocrrepair, spam, truncation
 
 
 def test_misread_ideograph_with_uses_of_its_own(spark):
@@ -21,3 +21,12 @@ def test_spam_does_not_raise_its_own_threshold(spark):
     pages = [*honest, *copies, *others, *weaker]
     docs = spark.createDataFrame(list(enumerate(pages)), "doc_id long, text string")
     assert {r.doc_id for r in spam.found(docs).collect()} == set(range(len(honest), len(pages)))
+
+
+def test_copies_of_a_cut_text_prove_nothing(spark):
+    tails = ["queue", "cache", "buffer", "device"]
+    whole = [f"Driver {a} opens the handle and handles a damage of the {b}." for a in ["alpha", "beta", "gamma", "delta", "omega"] for b in tails]
+    cut = ["Driver zeta opens the handle and handles a damage"] * 20 + ["Driver kappa opens the handle and handles a damage..."]
+    rows = [(i, "f", "t", t, None) for i, t in enumerate([*whole, *cut])]
+    entities = spark.createDataFrame(rows, "rec_id long, feed string, src string, description string, remarks string")
+    assert {r.rec_id for r in truncation.found(entities).collect()} == set(range(len(whole), len(rows)))
