@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -71,7 +70,7 @@ def part_at_end(s: Column, g: Grammar = OCR) -> Column:
 
 def is_stop_word(name: Column, g: Grammar = OCR) -> Column:
     """A capitalised word that is no name."""
-    return name.isin(*g.stop_words) | name.rlike(g.stop_rule)
+    return name.isin(*g.stop_words)
 
 
 def name_opened(s: Column, camel: Column, g: Grammar = OCR) -> Column:
@@ -91,13 +90,6 @@ def name_opened(s: Column, camel: Column, g: Grammar = OCR) -> Column:
     )
 
 
-def fix_name(name: Column) -> Column:
-    """Type words with misread letters set right; a blank or hyphen between capitals becomes an underscore."""
-    fixes = [("UL0NG", "ULONG"), ("B00L", "BOOL"), ("DW0RD", "DWORD"), ("HANDlE", "HANDLE"), ("NUlL", "NULL"), ("HRESUlT", "HRESULT"), ("LPV0ID", "LPVOID"), ("W0RD", "WORD"), ("l0CTL", "IOCTL")]
-    fixed = reduce(lambda c, f: F.regexp_replace(c, rf"(?U)\b{f[0]}\b", f[1]), fixes, name)
-    return F.when(fixed.rlike(r"(?U)^[A-Z][A-Z0-9]+[-\s][A-Z][A-Z0-9]+"), F.translate(fixed, "- ", "__")).otherwise(fixed)
-
-
 def clean_text(c: Column, g: Grammar = OCR) -> Column:
     """Text without furniture, cut where another part begins, white space evened out."""
     c = F.regexp_replace(c, g.text_noise, "")

@@ -1,7 +1,12 @@
-"""Reviewers' answers, free text that should hold JSON, as structs.
+"""Reviewers' answers, free text that should hold one JSON object, as structs.
 
-Built-in functions cannot close brackets or read damaged JSON, so one Arrow-batched function does; everything
-around it is a plan.
+A text that is one JSON object is taken as it is. Anything else is read by a tolerant reader: one pass over its tokens
+that keeps a stack of open objects and lists, does without commas, closing brackets and quotes around keys, takes a
+quote within a text for a part of it unless something that ends a value follows (or none does before the end), and starts at the first brace whose
+object holds a field of an answer. Fences and prose around the object are never looked at. Where a text breaks off
+within a value, that value is lost; the edits of such an answer must have the fields they need, close to their kind.
+
+Built-in functions cannot do this, so one Arrow-batched function does; everything around it is a plan.
 """
 
 from __future__ import annotations
@@ -21,141 +26,159 @@ OP = "struct<op:string,field:string,value:string,target:string,edge_type:string,
 RESPONSE = f"struct<verdict:string,confidence:double,summary:string,operations:array<{OP}>>"
 _FIELDS = ("op", "field", "value", "target", "edge_type", "name", "entity_type", "description", "reason", "target_id")
 _VERDICTS = ("keep", "delete", "merge")
-#: Characters after an operation's name in which its fields are looked for, in damaged JSON.
+# Characters after the start of a broken answer's edit in which its fields count, and the summary of an
+# answer that cannot be read.
 REACH = 420
+UNREADABLE = "解析失败"
+#: Fields without which an edit of a broken answer is none.
+_NEEDED = {"update_field": ("field", "value"), "add_edge": ("target",), "delete_edge": ("target",), "add_node": ("name",), "merge_into": ("target_id",)}
+_THOUGHTS = re.compile(r"<think>.*?</think>", re.S)
+_TOKEN = re.compile(
+    r"""\s*(?:(?P<mark>[{}\[\]:,])
+    |"(?P<text>(?:[^\\]|\\.)*?)"(?=\s*(?:[,}\]:]|$))
+    |"(?P<short>[^"\\]*(?:\\.[^"\\]*)*)"
+    |(?P<number>-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?)
+    |(?P<word>[^\W\d]\w*)"?
+    |(?P<open>")
+    |(?P<stray>\S))""",
+    re.S | re.X,
+)
+_WORDS = {"true": True, "false": False, "null": None}
+
+
+def _unquoted(body: str) -> str:
+    """A text's characters without its escapes; what is no escape stays."""
+    try:
+        return json.loads(f'"{body}"', strict=False)
+    except ValueError:
+        return body
 
 
-def without_thoughts(text: str) -> str:
-    """The answer without its thinking block."""
-    return re.sub(r"(?s)<think>.*?</think>", "", text).strip()
-
-
-def json_candidates(text: str) -> list[str]:
-    """Parts of an answer that may be its JSON: all of it, fenced blocks, everything from the first brace."""
-    whole = text.strip().replace("﻿", "")
-    fenced = [m.strip() for m in re.findall(r"(?is)```(?:json)?\s*\n?(.*?)\n?```", whole)]
-    from_brace = [whole[whole.index("{") :].strip()] if "{" in whole else []
-    return list(dict.fromkeys(c for c in [whole, *fenced, *from_brace] if c))
-
-
-def closed(text: str) -> str:
-    """The text with brackets that are still open at its end closed; brackets within strings do not count."""
-    bare = re.sub(r'"(?:[^"\\]|\\.)*"', "", text, flags=re.S)
-    bare = bare[: bare.index('"')] if '"' in bare else bare  # an unfinished string hides the rest
-    waiting: list[str] = []
-    for bracket in re.findall(r"[{}\[\]]", bare):
-        if bracket in "{[":
-            waiting.append("}" if bracket == "{" else "]")
-        elif waiting and waiting[-1] == bracket:
-            waiting.pop()
-    return text + "".join(reversed(waiting))
-
-
-def repaired(text: str, strict: bool = True) -> str:
-    """JSON with fences, control characters, trailing commas and unquoted keys set right, and closed.
+class Reader:
+    """One tolerant pass over ``text`` from the brace at ``at`` to the end of its object.
 
-    ``strict`` quotes bare keys properly; without it they are quoted with backslashes, as a compatible run does, which
-    leaves such answers to the reading of damaged JSON.
+    ``found`` is the object, ``broken`` tells that something within it was lost, ``span`` gives for each object read the
+    place where it started and where each of its fields ended.
     """
-    s = re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "", text.strip().replace("﻿", ""))
-    s = re.sub(r"```$", "", re.sub(r"(?i)^```(?:json)?", "", s).strip()).strip()
-    s = re.sub(r",\s*([}\]])", r"\1", s)
-    quoted = r'\1 "\2":' if strict else r"\1 \\\"\2\\\":"
-    s = re.sub(r"([{\[,])\s*([A-Za-z_]\w*)\s*:", quoted, s, flags=re.A)
-    s = re.sub(r'([{\[,])\s*([A-Za-z_]\w*)"\s*:', quoted, s, flags=re.A)
-    return closed(s)
-
-
-def load(text: str, strict: bool = True) -> Any:
-    """The first candidate that is JSON, as it is or repaired; None if none is."""
-    for candidate in json_candidates(text):
-        for attempt in (candidate, repaired(candidate, strict)):
-            try:
-                return json.loads(attempt)
-            except ValueError:
-                continue
-    return None
 
-
-def _quoted(key: str, text: str, open_end: bool = True) -> str | None:
-    m = re.search(rf'"?\b{key}"?\s*:\s*"(.*?)"' + (r"\s*(?:[,}]|$)" if open_end else ""), text, re.S)
-    return m.group(1) if m else None
-
-
-#: Fields read for each kind of operation in damaged JSON, the required ones first.
-_DAMAGED = {
-    "update_field": (("field", "value"), ()), "add_edge": (("target",), ("edge_type",)), "delete_edge": (("target",), ("edge_type",)),
-    "add_node": (("name",), ("entity_type", "description")), "delete_node": ((), ("reason",)), "merge_into": (("target_id",), ("reason",)),
-}
-
-
-def read_damaged(text: str) -> dict | None:
-    """Verdict, confidence, summary and operations found by pattern; None if none of the first three is there."""
-    body = re.sub(r"(?i)```(?:json)?|```", "", text).strip()
-    verdict = re.search(r'(?i)"verdict"\s*:\s*"(keep|delete|merge)"', body)
-    sure = re.search(r'(?i)"confidence"\s*:\s*([0-9]*\.?[0-9]+)', body)
-    summary = re.search(r'(?is)"summary"\s*:\s*"(.*?)"\s*(?:,\s*"operations"\s*:|$)', body)
-    if not (verdict or sure or summary):
-        return None
-    operations = []
-    for m in re.finditer(rf'(?i)"op"\s*:\s*"({"|".join(EDITS)})"', body):
-        window, op = body[m.start() : m.start() + REACH], {"op": m.group(1)}
-        required, optional = _DAMAGED.get(m.group(1), ((), ()))
-        found = {k: _quoted(k, window, open_end=k in ("value", "description", "reason")) for k in (*required, *optional)}
-        if all(found[k] is not None for k in required) and (m.group(1) in _DAMAGED):
-            operations.append(op | {k: v for k, v in found.items() if v is not None})
-    return {
-        "verdict": verdict.group(1).lower() if verdict else "keep", "confidence": float(sure.group(1)) if sure else 0.5,
-        "summary": summary.group(1).strip() if summary else "", "operations": operations,
-    }
+    def __init__(self, text: str, at: int) -> None:
+        self.found: dict = {}
+        self.broken = False
+        self.span: dict[int, tuple[int, dict[str, int]]] = {id(self.found): (at, {})}
+        self._open: list[Any] = [self.found]
+        self._key: list[str | None] = [None]
+        self.end = at + 1
+        while self._open and (m := _TOKEN.match(text, self.end)):
+            self.end = m.end()
+            self._take(m, m.lastgroup or "", text)
+
+    def _take(self, m: re.Match, kind: str, text: str) -> None:
+        token = m.group(kind)
+        self.broken |= kind in ("open", "stray", "short")
+        if kind == "open":
+            self.end = len(text)
+        elif kind == "stray":
+            return
+        elif kind != "mark":
+            names = isinstance(self._open[-1], dict) and self._key[-1] is None
+            if names:
+                self._key[-1] = token
+            else:
+                self._put(_unquoted(token) if kind in ("text", "short") else json.loads(token) if kind == "number" else _WORDS.get(token, token))
+        elif token in "{[":
+            value: Any = {} if token == "{" else []
+            self.span[id(value)] = (m.start(kind), {})
+            self._put(value)
+            self._open.append(value)
+            self._key.append(None)
+        elif token in "}]":
+            closes = dict if token == "}" else list
+            while self._open and any(isinstance(x, closes) for x in self._open):
+                self._key.pop()
+                if isinstance(self._open.pop(), closes):
+                    break
+        elif token == ",":
+            self._key[-1] = None
+
+    def _put(self, value: Any) -> None:
+        holder, key = self._open[-1], self._key[-1]
+        if isinstance(holder, list):
+            holder.append(value)
+        elif key is not None:
+            holder[key] = value
+            self.span[id(holder)][1][key] = self.end
+            self._key[-1] = None
+
+    def edits(self) -> list[dict]:
+        """The edits; of a broken answer those that have what they need within ``REACH``."""
+        listed = self.found.get("operations")
+        edits = [o for o in (listed if isinstance(listed, list) else []) if isinstance(o, dict)]
+        if not self.broken:
+            return edits
+        near = []
+        for o in edits:
+            start, ends = self.span[id(o)]
+            kept = {k: v for k, v in o.items() if ends.get(k, 0) - start <= REACH}
+            if all(k in kept for k in ("op", *_NEEDED.get(str(o.get("op")), ()))):
+                near.append(kept)
+        return near
+
+
+def read(text: str | None, wanted: tuple[str, ...] = ("verdict", "confidence", "summary", "operations")) -> dict | None:
+    """The object an answer holds, None if no object in it has a ``wanted`` field."""
+    body = _THOUGHTS.sub("", text or "").replace("﻿", "").strip()
+    try:
+        whole = json.loads(body)
+    except (ValueError, RecursionError):
+        whole = None
+    if isinstance(whole, dict):
+        return whole
+    if "{" not in body:
+        body = "{" + body
+    at = body.find("{")
+    while at >= 0:
+        r = Reader(body, at)
+        if any(k in r.found for k in wanted):
+            return r.found | ({"operations": r.edits()} if "operations" in r.found else {})
+        at = body.find("{", max(at + 1, r.end - 1) if not r.found else at + 1)
+    return None
 
 
 def _as_text(v: Any) -> str | None:
     return v if v is None or isinstance(v, str) else json.dumps(v, ensure_ascii=False)
 
 
-def validated(answer: dict) -> dict:
-    """An answer of the expected form: known verdict, confidence within 0..1, known operations."""
+def _sure(v: Any) -> float:
     try:
-        sure = float(answer.get("confidence", 0.5))
+        return max(0.0, min(1.0, float(v)))
     except (TypeError, ValueError):
-        sure = 0.5
-    verdict = answer.get("verdict", "keep")
-    ops = answer.get("operations") or []
-    known = [{f: _as_text(o.get(f)) for f in _FIELDS} for o in (ops if isinstance(ops, list) else []) if isinstance(o, dict) and o.get("op") in EDITS]
-    return {"verdict": verdict if verdict in _VERDICTS else "keep", "confidence": max(0.0, min(1.0, sure)), "summary": str(answer.get("summary", "")), "operations": known}
+        return 0.5
 
 
-def parse(text: str | None, strict: bool = True) -> dict | None:
-    """One answer as a RESPONSE, None if it cannot be read at all."""
-    if not text:
+def parse(text: str | None) -> dict | None:
+    """One answer as a RESPONSE, None if it cannot be read at all: a known verdict (else keep), a confidence within
+    0..1 (0.5 if it is no number), known edits only."""
+    answer = read(text)
+    if answer is None:
         return None
-    body = without_thoughts(text)
-    answer = load(body, strict)
-    if not isinstance(answer, dict):
-        answer = read_damaged(body)
-    return validated(answer) if isinstance(answer, dict) else None
+    verdict, listed = answer.get("verdict", "keep"), answer.get("operations")
+    edits = [{f: _as_text(o.get(f)) for f in _FIELDS} for o in (listed if isinstance(listed, list) else []) if isinstance(o, dict) and o.get("op") in EDITS]
+    return {"verdict": verdict if verdict in _VERDICTS else "keep", "confidence": _sure(answer.get("confidence", 0.5)), "summary": str(answer.get("summary", "")), "operations": edits}
 
 
-def parse_winner(text: str | None, strict: bool = True) -> str | None:
+def parse_winner(text: str | None) -> str | None:
     """"A" or "B" of a comparison's answer, None if it names neither."""
-    if not text:
-        return None
-    body = without_thoughts(text)
-    answer = load(body, strict)
-    if isinstance(answer, dict) and (winner := str(answer.get("winner", "")).strip().upper()) in ("A", "B"):
-        return winner
-    m = re.search(r'"winner"\s*:\s*"([ABab])"', body)
-    return m.group(1).upper() if m else None
+    winner = str((read(text, ("winner",)) or {}).get("winner", "")).strip().upper()
+    return winner if winner in ("A", "B") else None
 
 
-def parsed(answers: DataFrame, column: str = "raw", strict: bool = True) -> DataFrame:
+def parsed(answers: DataFrame, column: str = "raw") -> DataFrame:
     """``answers`` with ``response``; an answer that cannot be read keeps its entity, with confidence 0."""
 
     @F.pandas_udf(RESPONSE)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            rows = [parse(t, strict) or {"verdict": "keep", "confidence": 0.0, "summary": "解析失败", "operations": []} for t in texts]
+            rows = [parse(t) or {"verdict": "keep", "confidence": 0.0, "summary": UNREADABLE, "operations": []} for t in texts]
             yield pd.DataFrame(rows, columns=["verdict", "confidence", "summary", "operations"])
 
     return answers.withColumn("response", run(column))

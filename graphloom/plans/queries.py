@@ -164,7 +164,7 @@ def _text(s: str) -> str:
 
 _NOISE = f"({_strip('coalesce(text, chr(32))')} = '' OR {_strip('text')} IN ({', '.join(map(_text, OCR.noise_lines))}) OR regexp_matches({_strip('text')}, '^(≦{_WS}*[0-9]+{_WS}*≧{_WS}*|[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}{_WS}+[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}{_WS}*)$'))"
 _LINES = "(SELECT line_id, file_name AS doc_id, coalesce(src, 't') AS src, line_no, coalesce(text, '') AS text FROM ocr_lines WHERE file_name IS NOT NULL)"
-_STOP = f"({{n}} IN ({', '.join(map(_text, OCR.stop_words))}) OR regexp_matches({{n}}, '{OCR.stop_rule}'))"
+_STOP = f"({{n}} IN ({', '.join(map(_text, OCR.stop_words))}))"
 _END = rf"({_WS}|$|[\x{{4e00}}-\x{{9fff}}])"
 _NAMES = f"""(SELECT *, CASE
     WHEN length(caps) >= 6 AND NOT regexp_matches(substr(s, length(caps) + 1, 1), '[a-z]') THEN caps
