@@ -133,9 +133,10 @@ def read(text: str | None, wanted: tuple[str, ...] = ("verdict", "confidence", "
         whole = None
     if isinstance(whole, dict):
         return whole
-    if "{" not in body:
-        body = "{" + body
     at = body.find("{")
+    named = [i for i in (body.find(f'"{k}"', 0, at if at >= 0 else len(body)) for k in wanted) if i >= 0]
+    if named:  # the first brace is missing
+        body, at = "{" + body[min(named) :], 0
     while at >= 0:
         r = Reader(body, at)
         if any(k in r.found for k in wanted):
