@@ -33,6 +33,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_misses": _two("entities", "canon_values", canonmap.misses),
         "p3_found": _one("entities", lookalike.found),
         "p3_consistent": _one("entities", lookalike.consistent),
+        "p3_classes": _one("entities", lookalike.classes),
+        "p3_spellings": _one("entities", lookalike.chosen),
         "p4_found": _one("entities", truncation.found),
         "p4_report": _one("entities", truncation.report),
         "p6_found": _one("refined", survivors.found),

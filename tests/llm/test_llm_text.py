@@ -2,6 +2,7 @@
 
 import datetime as dt
 import itertools
+import random
 
 import pytest
 
@@ -65,13 +66,52 @@ def test_many_rows_of_one_text_are_not_paired_with_each_other(spark):
 
 
 def test_canonical_spelling_and_trie(spark):
-    got = {r.rec_id: r.canonical for r in lookalike.consistent(named(spark, [("Word", "Wоrd")])).collect()}
-    assert got == {1: "Word"}
-    trie = lookalike.Trie({"word": 3, "ward": 1, "façade": 1})
-    assert trie.walk("wоr​d") == "word" and trie.walk("façade") == "façade" and trie.walk("wxrd") is None
-    assert trie.walk("wxrd", 1) == "word" and trie.walk("wor", 1) == "word" and trie.walk("woord", 1) == "word"
+    got = {r.rec_id: r.canonical for r in lookalike.consistent(named(spark, [("Word", "Wоrd"), ("запись", "зaпись")])).collect()}
+    assert got == {1: "Word", 3: "запись"}
+    trie = lookalike.Trie([("word", 3), ("ward", 1), ("façade", 1), ("Info", 2), ("token", 1), ("сор", 9), ("cop", 1)])
+    assert trie.walk("wоr​d") == ("word", 0) and trie.walk("façade") == ("façade", 0) and trie.walk("wxrd") is None
+    assert trie.walk("ӏnfо") == ("Info", 0.2) and trie.walk("toкen") == ("token", 0.3) and trie.walk("toкen", 0.1) is None and trie.walk("сop") == ("cop", 0)
     long = "а" * 100_000
-    assert charfold.skeleton(long) == "a" * 100_000
+    assert charfold.skeleton(long) == "a" * 100_000 and lookalike.cut("a\0b\r") == ("ab ", [])
+
+
+def test_trie_equals_comparison_with_every_word():
+    rng = random.Random(5)
+    near = lookalike.near_forms(lookalike.NEAR)
+    alphabet = "lIikкtтnηпoаeо"
+    words = {"".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 5))): rng.randrange(1, 4) for _ in range(400)}
+    words = {w: n for w, n in words.items() if lookalike.is_clean(w)}
+    trie, of = lookalike.Trie(words.items()), lookalike.anchors(lookalike.NEAR)
+
+    def cost(a, b):
+        a, b = charfold.skeleton(a), charfold.skeleton(b)
+        return sum(0 if x == y else dict(near.get(x, ())).get(y, 99) for x, y in zip(a, b)) if len(a) == len(b) else 99
+
+    some = 0
+    for _ in range(600):
+        spelling = "".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 5)))
+        want = min(((round(cost(spelling, w), 6), not w.isascii(), -n, w) for w, n in words.items()))
+        want = (want[3], want[0]) if want[0] <= lookalike.BUDGET else None
+        assert trie.walk(spelling) == want, spelling
+        some += want is not None and want[1] > 0
+        if want:  # what can be reached is in the same shard
+            assert [of.get(c, c) for c in charfold.skeleton(spelling)] == [of.get(c, c) for c in charfold.skeleton(want[0])]
+    assert some > 20
+
+
+def test_words_that_only_the_trie_finds(spark):
+    e = named(spark, [("Info about tokens", "ӏnfо about toкens"), ("запись", "зaпись"), ("Info", "Info"), ("tokens", "tokens")])
+    assert {(r.spelling, r.word, r.by_table) for r in lookalike.chosen(e).collect()} == {("ӏnfо", "Info", "lnfo"), ("toкens", "tokens", "toкens"), ("запись", "запись", "зaпиcь"), ("зaпись", "запись", "зaпиcь")}
+    assert {tuple(r) for r in lookalike.found(e).collect()} == {(0, 1, "name"), (2, 3, "name")}
+
+
+def test_membership_gives_all_pairs(spark):
+    rows = [(i, "d" if i else None, "N", ["text", "tеxt", "te​xt", "other"][i % 4]) for i in range(41)]
+    e = spark.createDataFrame(rows, "rec_id long, document_id string, name string, description string")
+    member = lookalike.classes(e).collect()
+    assert len(member) == 30 and {r.same_text for r in member} == {1, 2, 4} and {r.same_look for r in member} == {1}
+    by = {(a.rec_id, b.rec_id) for a in member for b in member if a.rec_id < b.rec_id and a.same_look == b.same_look and a.same_text != b.same_text}
+    assert by == {(r.rec_id_a, r.rec_id_b) for r in lookalike.found(e).collect()}
 
 
 def cut_rows(spark):
