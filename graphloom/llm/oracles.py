@@ -1,9 +1,18 @@
-"""DuckDB statements for the training-data queries that plain SQL can express."""
+"""DuckDB statements for the training-data queries that plain SQL can express.
+
+The statements hold their own literal values, so that a wrong table in an operator shows.
+"""
 
 from __future__ import annotations
 
-from graphloom.llm.charfold import _tables
-from graphloom.llm.survivors import OPTIONAL, PLACEHOLDERS
+# Letters drawn like Latin ones and what they are drawn like, letter by letter.
+_ALIKE = "ΑАᎪΒВᏴСϹᏟᎠΕЕᎬϜԌᏀΗНᎻΙІӀЈᎫͿΚКᏦᏞΜМᎷϺΝΟОՕΡРᏢԚЅՏᏚΤТᎢՍѴᏙԜᎳΧХΥҮΖᏃаɑαсϲԁеɡցһհіιıјϳӏոоοօрρԛѕսυѵνԝхχуүγᴢ"
+_DRAWN = "AAABBBCCCDEEEFGGHHHIIIJJJKKKLMMMMNOOOPPPQSSSTTTUVVWWXXYYZZaaaccdegghhiiijjlnoooppqsuuvvwxxyyyz"
+_WIDE = "".join(map(chr, range(0xFF01, 0xFF5F)))
+_NARROW = "".join(map(chr, range(0x21, 0x7F)))
+_LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl"}
+_TRUST = "CASE origin WHEN 'manual' THEN 4 WHEN 'llm' THEN 3 WHEN 'p' THEN 2 WHEN 't' THEN 1 ELSE 0 END"
+_FIELDS = ("entity_type", "description", "syntax", "remarks", "header", "return_value")
 
 
 def _text(s: str) -> str:
@@ -11,35 +20,40 @@ def _text(s: str) -> str:
 
 
 def _folded(column: str) -> str:
-    source, target, several = _tables()
-    kept = len(target)
-    gone = source[kept:]
-    out = f"translate({column}, {_text(source[:kept])}, {_text(target)})"
-    out = f"translate({out}, {_text(gone)}, '')"
-    for ch, same in several.items():
-        if "ﬀ" <= ch <= "ﬆ":
-            out = f"replace({out}, {_text(ch)}, {_text(same)})"
+    out = f"translate({column}, {_text(_ALIKE + _WIDE + chr(0x212A))}, {_text(_DRAWN + _NARROW + 'K')})"
+    for joined, letters in _LIGATURES.items():
+        out = f"replace({out}, '{joined}', '{letters}')"
     return out
 
 
-def _p6() -> str:
-    held = ", ".join(_text(x) for x in PLACEHOLDERS)
-    value = lambda c: f"CASE WHEN trim(translate(lower({c}), '\t\n\r 　', '     ')) NOT IN ({held}) THEN {c} END AS {c}"
-    flags = ", ".join(f"({c} IS NOT NULL) AS has_{c}" for c in OPTIONAL)
-    tops = ", ".join(f"max(has_{c}) AS top_{c}" for c in OPTIONAL)
-    same = " AND ".join(f"has_{c} = top_{c}" for c in OPTIONAL)
-    return f"""
-    WITH k AS (SELECT refined_id, document_id, refined_at, confidence, {", ".join(value(c) for c in OPTIONAL)},
-            nullif(regexp_replace(regexp_replace(lower({_folded("name")}), '^.*::', ''), '[^\\p{{L}}\\p{{N}}]', '', 'g'), '') AS name_key FROM refined),
-        m AS (SELECT refined_id, document_id, name_key, refined_at, CASE WHEN confidence BETWEEN 0 AND 1 AND NOT isnan(confidence) THEN confidence ELSE -1 END AS c,
-            coalesce(length(description), 0) AS n, {flags} FROM k WHERE document_id IS NOT NULL AND name_key IS NOT NULL),
-        g AS (SELECT document_id, name_key, count(*) AS n_rows, max(refined_at) AS top_at, max(c) AS top_c, max(n) AS top_n, {tops} FROM m GROUP BY ALL),
-        b AS (SELECT m.refined_id, m.document_id, m.name_key FROM m JOIN g USING (document_id, name_key)
+def _keyed() -> str:
+    value = lambda c: f"CASE WHEN trim(translate(lower({c}), '\t\n\r 　', '     ')) NOT IN ('', '-', '--', '—', 'n/a', 'na', 'null', 'none', 'nil', 'tbd', '无', '暂无', '待补充', '未知') THEN {c} END AS {c}"
+    return f"""WITH k AS (SELECT refined_id, document_id, name, refined_at, {_TRUST} AS rank, CASE WHEN confidence BETWEEN 0 AND 1 AND NOT isnan(confidence) THEN confidence END AS confidence,
+            {", ".join(value(c) for c in _FIELDS)}, {_folded("name")} AS folded FROM refined),
+        m AS (SELECT *, nullif(regexp_replace(regexp_replace(lower(folded), '^.*::', ''), '[^\\p{{L}}\\p{{N}}]', '', 'g'), '') AS name_key FROM k)"""
+
+
+def _found() -> str:
+    flags = ", ".join(f"({c} IS NOT NULL) AS has_{c}" for c in _FIELDS)
+    tops = ", ".join(f"max(has_{c}) AS top_{c}" for c in _FIELDS)
+    same = " AND ".join(f"has_{c} = top_{c}" for c in _FIELDS)
+    return f"""{_keyed()},
+        r AS (SELECT refined_id, document_id, name_key, refined_at, coalesce(confidence, -1) AS c, coalesce(length(description), 0) AS n, {flags} FROM m WHERE document_id IS NOT NULL AND name_key IS NOT NULL),
+        g AS (SELECT document_id, name_key, count(*) AS n_rows, max(refined_at) AS top_at, max(c) AS top_c, max(n) AS top_n, {tops} FROM r GROUP BY ALL),
+        b AS (SELECT r.refined_id, r.document_id, r.name_key FROM r JOIN g USING (document_id, name_key)
             WHERE n_rows >= 2 AND refined_at = top_at AND c = top_c AND n = top_n AND {same})
-    SELECT min(refined_id) AS refined_id FROM b GROUP BY document_id, name_key HAVING count(*) = 1
-    """
+    SELECT min(refined_id) AS refined_id FROM b GROUP BY document_id, name_key HAVING count(*) = 1"""
+
+
+def _survivors() -> str:
+    n = lambda c: f"length({c})" if c in ("description", "syntax", "remarks") else "0"
+    best = ", ".join(f"first({c} ORDER BY {c} IS NOT NULL DESC, rank DESC, refined_at DESC, {n(c)} DESC, {c} DESC) AS {c}" for c in (*_FIELDS, "confidence"))
+    return f"""{_keyed()}
+    SELECT document_id, name_key, first(name ORDER BY CAST(name = trim(folded) AS INT) + CAST(regexp_matches(name, '^[A-Za-z0-9_]+$') AS INT) DESC, rank DESC, refined_at DESC, name DESC) AS name, {best},
+        strftime(max(refined_at) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S.%f') AS refined_at, count(*) AS n_rows, min(refined_id) AS first_id
+    FROM m WHERE document_id IS NOT NULL AND name_key IS NOT NULL GROUP BY document_id, name_key"""
 
 
 def oracle_sql() -> dict[str, str]:
     """One statement per query."""
-    return {"p6_found": _p6()}
+    return {"p6_found": _found(), "p6_survivors": _survivors()}

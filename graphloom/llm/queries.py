@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from graphloom.llm import canonmap, encode, lookalike, mixing, ocrrepair, spam, survivors, truncation
 from graphloom.session import small_batches, table
@@ -38,7 +39,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p4_found": _one("entities", truncation.found),
         "p4_report": _one("entities", truncation.report),
         "p6_found": _one("refined", survivors.found),
-        "p6_survivors": _one("refined", survivors.survivors),
+        "p6_survivors": _one("refined", lambda r: survivors.survivors(r).withColumn("refined_at", F.date_format("refined_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))),
         "p7_found": _one("ocr_lines", ocrrepair.found),
         "p7_paragraphs": _one("ocr_lines", ocrrepair.paragraphs),
         "p8_ids": _one("documents", encode.encode),
