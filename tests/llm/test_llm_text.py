@@ -16,14 +16,15 @@ def canon(spark):
 
 
 def typed(spark, rows):
-    return spark.createDataFrame([(i, t, (m,)) for i, (t, m) in enumerate(rows)], "rec_id long, entity_type string, requirements struct<min_client:string>")
+    return spark.createDataFrame([(i, "d", f"n{i}", t, (m,)) for i, (t, m) in enumerate(rows)], "rec_id long, document_id string, name string, entity_type string, requirements struct<min_client:string>")
 
 
 VALUES = [("struct", "Windows 7", None, None), ("strcut", "Win 7 (SP1)", 1, 5), ("ＳＴＲＵＣＴ\xa0", "Windos 7+", 1, 4), ("函数 / function", "Ｗｉｎｄｏｗｓ　１０　ｖ１６０７", 2, 6), ("callback function", "MS_Windows XP 。", 3, 7), ("license text", "Windows 8", -1, -1), ("", "Windows 10 version 1703", -1, -1), (None, None, None, None), ("functions", "W 7 or later", 2, 4), ("x" * 5000, "Windows 77", -1, -1)]
 
 
-@pytest.mark.parametrize("find", [canonmap.found, canonmap._found_by_join])
-def test_values_meet_their_entries(spark, find):
+@pytest.mark.parametrize("most", [canonmap.MAX_TERMS, 0])
+def test_values_meet_their_entries(spark, most):
+    find = lambda e, c: canonmap.found(e, c, most)
     e = typed(spark, [v[:2] for v in VALUES])
     want = {(i, f, c) for i, v in enumerate(VALUES) for f, c in (("entity_type", v[2]), ("min_client", v[3])) if c is not None}
     assert {tuple(r) for r in find(e, canon(spark)).collect()} == want
@@ -31,6 +32,25 @@ def test_values_meet_their_entries(spark, find):
     assert {r.canon_id for r in find(e, canon(spark).limit(0)).collect()} == {-1}
 
 
+def test_both_ways_answer_alike_on_random_lists(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcde 结12") for _ in range(rng.randrange(1, 50)))
+    listed = [(i, rng.choice(["entity_type", "min_client"]), word(), rng.choice([None, word()])) for i in range(60)] + [(100, "entity_type", "macro", None), (101, "entity_type", "constant", "macro")]
+    typos = [w[: (k := rng.randrange(len(w)))] + rng.choice(["", "a", "e"]) + w[k + 1 :] for _, _, w, _ in listed for _ in range(3)]
+    values = [(x, y) for x, y in zip(typos + ["macro, constant", "constant / macro"], reversed(typos + ["", "x"]))]
+    e, c = typed(spark, values), spark.createDataFrame(listed, "canon_id int, kind string, label string, label_zh string")
+    one, other = ({tuple(r) for r in canonmap.found(e, c, most).collect()} for most in (canonmap.MAX_TERMS, 0))
+    assert one == other and sum(r[2] >= 0 for r in one) > 50
+
+
+def test_names_are_learned_from_rows_of_one_entity(spark):
+    rows = [(f"n{i}", t, None) for i in range(8) for t in (["struct", "record"] if i % 2 else ["function", "routine", "see notes"] if i % 4 else ["struct", "see notes", "record"])]
+    rows += [("lone", "recrod", None), ("lone", "routine", None), ("lone", "see notes", None)]
+    e = spark.createDataFrame([(i, "d", n, t, (m,)) for i, (n, t, m) in enumerate(rows)], "rec_id long, document_id string, name string, entity_type string, requirements struct<min_client:string>")
+    got = {rows[r.rec_id][1]: r.canon_id for r in canonmap.found(e, canon(spark)).collect()}
+    assert got == {"record": 1, "recrod": 1, "routine": -1, "see notes": -1}  # two entities are too few for routine
+
+
 def test_misses_are_reported(spark):
     got = {(r.field_name, r.value): r.n_rows for r in canonmap.misses(typed(spark, [("foo", None), ("foo", None), ("struct", None)]), canon(spark)).collect()}
     assert got == {("entity_type", "foo"): 2}
