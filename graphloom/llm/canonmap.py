@@ -24,6 +24,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from itertools import combinations
 
 import pandas as pd
@@ -39,6 +40,8 @@ MAX_DISTANCE = 2
 MAX_TERMS = 20_000
 #: Entities in which a value must stand beside one label to be learned as its name, and the share of them all.
 SUPPORT, SHARE = 4, 0.9
+#: Answers a task keeps at hand.
+KEPT = 50_000
 #: Least letters of a label's beginning that stands for it.
 SHORT = 4
 _OS_NOISE = re.compile(
@@ -174,7 +177,9 @@ class Dictionary:
         for rank, position, form in forms(self.kind, value, self.longest):
             if best is not None and best[0] < rank:
                 break
-            for term in {t for d in keys(rank, form, self.longest) for t in self.index.get(d, ())}:
+            settled = best is not None and best[:2] == (rank, 0) or any(rank == 0 or not begins for _, begins in self.terms.get(form, ()))
+            near = {form} & self.terms.keys() if settled else {t for d in keys(rank, form, self.longest) for t in self.index.get(d, ())}
+            for term in near:
                 for c, begins in self.terms[term]:
                     d = far(form, term, rank, begins)
                     if d is not None:
@@ -227,14 +232,14 @@ def learned(entities: DataFrame, canon: DataFrame, support: int = SUPPORT, share
     """
 
     @F.pandas_udf("string")
-    def tidied(value: pd.Series) -> pd.Series:
-        codes, distinct = pd.factorize(value)
-        return pd.Series([tidy(v) for v in distinct], dtype=object).take(codes).reset_index(drop=True)
+    def tidied(kind: pd.Series, value: pd.Series) -> pd.Series:
+        codes, distinct = pd.MultiIndex.from_arrays([kind, value]).factorize()
+        return pd.Series([platform_form(v) if k == "min_client" else tidy(v) for k, v in distinct], dtype=object).take(codes).reset_index(drop=True)
 
     held = values(entities, "document_id", "name").where("document_id is not null and name is not null").select("document_id", "name", "field_name", "value").distinct()
     labels = _labels(canon)
     sure = held.join(labels, ["field_name", "value"]).select("document_id", "name", "field_name", "canon_id").distinct()
-    free = held.join(labels, ["field_name", "value"], "left_anti").withColumn("term", tidied("value")).where("term <> ''").select("document_id", "name", "field_name", "term").distinct()
+    free = held.join(labels, ["field_name", "value"], "left_anti").withColumn("term", tidied("field_name", "value")).where("term <> ''").select("document_id", "name", "field_name", "term").distinct()
     both = free.join(sure, ["document_id", "name", "field_name"]).groupBy("field_name", "term", "canon_id").agg(F.count("*").alias("n"))
     total = both.groupBy("field_name", "term").agg(F.sum("n").alias("total"), F.max(F.struct("n", "canon_id")).alias("top"))
     return total.where((F.col("top.n") >= support) & (F.col("top.n") >= share * F.col("total"))).select(F.col("field_name").alias("kind"), "term", "top.canon_id", F.lit(False).alias("begins"))
@@ -272,10 +277,14 @@ def found(entities: DataFrame, canon: DataFrame, max_terms: int = MAX_TERMS) ->
     held = entities.sparkSession.sparkContext.broadcast(known)
 
     @F.pandas_udf("int")
-    def meant(kind: pd.Series, value: pd.Series) -> pd.Series:
-        codes, distinct = pd.MultiIndex.from_arrays([kind, value]).factorize()
-        ids = [held.value[k].lookup(v) if k in held.value else MISS for k, v in distinct]
-        return pd.Series(ids, dtype="int32").take(codes).reset_index(drop=True)
+    def meant(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        @lru_cache(KEPT)
+        def one(kind: str, value: str) -> int:
+            return held.value[kind].lookup(value) if kind in held.value else MISS
+
+        for kind, value in batches:
+            codes, distinct = pd.MultiIndex.from_arrays([kind, value]).factorize()
+            yield pd.Series([one(k, v) for k, v in distinct], dtype="int32").take(codes).reset_index(drop=True)
 
     return opened.select("rec_id", "field_name", meant("field_name", "value").alias("canon_id")).distinct()
 
