@@ -54,6 +54,18 @@ def _survivors() -> str:
     FROM m WHERE document_id IS NOT NULL AND name_key IS NOT NULL GROUP BY document_id, name_key"""
 
 
+_SHARES = """WITH t AS (SELECT source, max(target_share) AS share, max(coalesce(max_repeats, 1)) AS most FROM mix_targets WHERE source IS NOT NULL AND target_share > 0 GROUP BY source),
+    d AS (SELECT source, min(doc_id) AS doc_id, length(text) AS n FROM documents WHERE text <> '' AND source IN (SELECT source FROM t) GROUP BY source, text),
+    s AS (SELECT t.*, size FROM t JOIN (SELECT source, sum(n) AS size FROM d GROUP BY source) USING (source) WHERE most > 0),
+    w AS (SELECT sum(share) AS whole, min(size * most * (SELECT sum(share) FROM s) / share) AS total FROM s),
+    p AS (SELECT source, size, least(total * share / whole, size * most) AS need FROM s, w),
+    c AS (SELECT d.source, n, size, need, sum(n) OVER (PARTITION BY d.source ORDER BY md5(doc_id || 'mix'), doc_id) - n AS start FROM d JOIN p USING (source)),
+    r AS (SELECT source, n, CAST(floor(need / size) + CASE WHEN start < need - floor(need / size) * size THEN 1 ELSE 0 END AS BIGINT) AS k FROM c),
+    u AS (SELECT source, count(*) AS n_texts, sum(k) AS n_copies, sum(n * k) AS n_tokens, max(k) AS most_repeats FROM r WHERE k > 0 GROUP BY source)
+SELECT m.source, target_share, max_repeats, coalesce(n_texts, 0) AS n_texts, CAST(coalesce(n_copies, 0) AS BIGINT) AS n_copies, CAST(coalesce(n_tokens, 0) AS BIGINT) AS n_tokens, CAST(coalesce(most_repeats, 0) AS INT) AS most_repeats,
+    coalesce(n_tokens, 0) / (SELECT CAST(sum(n_tokens) AS DOUBLE) FROM u) AS actual_share FROM mix_targets m LEFT JOIN u ON m.source = u.source"""
+
+
 def oracle_sql() -> dict[str, str]:
     """One statement per query."""
-    return {"p6_found": _found(), "p6_survivors": _survivors()}
+    return {"p6_found": _found(), "p6_survivors": _survivors(), "p9_shares_by_characters": _SHARES}

@@ -45,6 +45,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p8_ids": _one("documents", encode.encode),
         "p9_mix": _two("documents", "mix_targets", mixing.mix),
         "p9_shares": _two("documents", "mix_targets", mixing.shares),
+        "p9_shares_by_characters": _two("documents", "mix_targets", lambda d, t: mixing.shares(d, t, mixing.characters)),
         "p10_found": _one("documents", spam.found),
         "p10_report": _one("documents", spam.report),
     }

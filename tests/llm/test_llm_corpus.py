@@ -77,17 +77,34 @@ def mix_tables(spark):
 def test_mix_meets_shares_and_repeats(spark):
     docs, targets = mix_tables(spark)
     got = mixing.mix(docs, targets, blocks=90).collect()
-    assert len({r.doc_id for r in got}) == len(got) and all(r.repeats <= {"a": 1, "b": 3}[r.source] and len(r.slots) == r.repeats for r in got)
-    assert sum(r.doc_id >= 2000 for r in got) <= 1
-    by = {r.source: r for r in mixing.shares(docs, targets, blocks=90).collect()}
+    assert len({r.doc_id for r in got}) == len(got) and all(r.repeats <= {"a": 1, "b": 3}[r.source] for r in got)
+    assert sum(2000 <= r.doc_id < 3000 for r in got) <= 1
+    by = {r.source: r for r in mixing.shares(docs, targets).collect()}
     assert abs(by["a"].actual_share - 2 / 3) < 0.02 and abs(by["b"].actual_share - 1 / 3) < 0.02 and by["c"].n_tokens == 0 and by["b"].most_repeats == 3
-    slots = collections.defaultdict(list)
-    for r in got:
-        slots[r.source] += r.slots
-    assert not set(slots["a"]) & set(slots["b"]) and max(slots["a"] + slots["b"]) < 90
     assert mixing.mix(docs.limit(0), targets).count() == 0 and mixing.mix(docs, targets.limit(0)).count() == 0
 
 
+def test_delivered_tokens_stay_within_a_block_of_the_weights(spark):
+    docs, targets = mix_tables(spark)
+    docs = docs.unionByName(spark.createDataFrame([(5000, "a long text of words " * 400, "a")], docs.schema))
+    got = mixing.mix(docs, targets, blocks=90, measure=mixing.characters).collect()
+    given, held, blocks = collections.Counter(), collections.defaultdict(collections.Counter), collections.Counter()
+    for r in got:
+        given[r.source] += r.n_tokens * r.repeats
+        for c in range(r.repeats):  # every token of every copy stands in exactly one slot
+            spans = sorted((x.begin, x.end) for x in r.spans if x.copy == c)
+            assert spans[0][0] == 0 and spans[-1][1] == r.n_tokens and all(x[1] == y[0] for x, y in zip(spans, spans[1:])) and all(x < y for x, y in spans)
+        for x in r.spans:
+            held[x.slot][r.source] += x.end - x.begin
+    assert sorted(held) == list(range(90)) and all(len(h) == 1 for h in held.values()) and max(len(r.spans) for r in got) > 20
+    for h in held.values():
+        blocks.update(h.keys())
+    seen = collections.Counter()
+    for t in range(90):
+        seen.update(held[t])
+        assert all(abs(seen[s] - given[s] * (t + 1) / 90) <= given[s] / blocks[s] + 1 for s in given), t
+
+
 HONEST = "The caller must open the handle before it uses the queue. If the queue is empty, the call returns at once. " * 4
 PAGES = [
     (1, HONEST, False), (2, "Widget free | Widget cheap | Widget best | " * 12, True), (3, "\n".join(f"http://a.example/{i}" for i in range(20)), True), (4, "\n".join(f"#Tag{i}下载" for i in range(30)), True),
