@@ -30,3 +30,24 @@ def test_copies_of_a_cut_text_prove_nothing(spark):
     rows = [(i, "f", "t", t, None) for i, t in enumerate([*whole, *cut])]
     entities = spark.createDataFrame(rows, "rec_id long, feed string, src string, description string, remarks string")
     assert {r.rec_id for r in truncation.found(entities).collect()} == set(range(len(whole), len(rows)))
+
+
+def test_thresholds_follow_the_language(spark):
+    """A list is spam where texts are sentences, and none where the language's own texts are half lists: thresholds move."""
+    prose = lambda i: f"The caller must open handle {i} before it uses the queue number {i}. If it is empty, the call returns. " * 2
+    tags = lambda i, n: "\n".join(f"Widget{i + k} cheap" for k in range(n))
+    plain, mixed = [prose(i) for i in range(70)], [prose(i) + "\n" + tags(i, 12) for i in range(70)]
+    page = prose(900) + "\n" + tags(900, 60)
+    at = {}
+    for name, texts in (("plain", plain), ("mixed", mixed), ("few", plain[:10])):
+        docs = spark.createDataFrame(list(enumerate([*texts, page])), "doc_id long, text string")
+        scores = {r.doc_id: r for r in spam.scored(docs).collect()}
+        at[name] = scores[len(texts)]
+    assert at["plain"].at_listed == 0.5 and at["mixed"].at_listed > 0.65 and at["few"].at_listed == spam.FLOORS["listed"]
+    assert at["mixed"].at_separators > at["plain"].at_separators and at["mixed"].at_prose < at["plain"].at_prose
+
+
+def test_short_spam_and_short_texts(spark):
+    pages = [("red | blue | green | pink | grey | brown | white", True), ("#Tag1 #Tag2 #Tag3 #Tag4 #Tag5, #Tag6", True), ("http://a.b\nhttp://a.c\nhttp://a.d\nhttp://a.e\nhttp://a.f", True), ("OpenIt", False), ("0", False), ("Open it, then close it.", False), ("a, b", False)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(pages)], "doc_id long, text string")
+    assert {r.doc_id for r in spam.found(docs).collect()} == {i for i, (_, bad) in enumerate(pages) if bad}
