@@ -177,14 +177,17 @@ def thresholds(held: DataFrame) -> DataFrame:
 def scored(docs: DataFrame) -> DataFrame:
     """Features of every document with its thresholds and the kind of spam it is, if any.
 
-    A language is one of at most eight values, so the thresholds are broadcast.
+    A language is one of at most eight values, so there are no more than nine rows of thresholds.
     """
     held = materialize(document_features(docs))
-    known = materialize(thresholds(held))
-    columns = [f"at_{c}" for c in QUANTILES]
-    common = known.where(F.col("language") == EVERY).select(*[F.col(c).alias(f"{c}_all") for c in columns])
-    joined = held.join(F.broadcast(known), "language", "left").join(F.broadcast(common.withColumn("every", F.lit(EVERY))), F.lit(EVERY) == F.col("every"), "left")
-    joined = joined.withColumns({f"at_{c}": F.coalesce(f"at_{c}", f"at_{c}_all", F.lit(FLOORS[c])) for c in QUANTILES}).drop("every", *[f"{c}_all" for c in columns])
+    known = {r["language"]: r for r in thresholds(held).collect()}
+    common = known.get(EVERY, {f"at_{c}": v for c, v in FLOORS.items()})
+
+    def at(c: str) -> Column:
+        own = [F.when(F.col("language") == language, F.lit(r[f"at_{c}"])) for language, r in known.items() if language != EVERY]
+        return F.coalesce(*own, F.lit(common[f"at_{c}"]))
+
+    joined = held.withColumns({f"at_{c}": at(c) for c in QUANTILES})
     over = lambda c: F.col(c) >= F.col(f"at_{c}")
     sign = F.lit(False)
     for c in SIGNS:

@@ -51,3 +51,46 @@ def test_short_spam_and_short_texts(spark):
     pages = [("red | blue | green | pink | grey | brown | white", True), ("#Tag1 #Tag2 #Tag3 #Tag4 #Tag5, #Tag6", True), ("http://a.b\nhttp://a.c\nhttp://a.d\nhttp://a.e\nhttp://a.f", True), ("OpenIt", False), ("0", False), ("Open it, then close it.", False), ("a, b", False)]
     docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(pages)], "doc_id long, text string")
     assert {r.doc_id for r in spam.found(docs).collect()} == {i for i, (_, bad) in enumerate(pages) if bad}
+
+
+LINE = "line_id long, document_id string, src string, file_name string, line_no int, section string, text string"
+
+
+def test_paragraphs_are_repaired_by_place(spark):
+    """Only the misread places change; a compound keeps its hyphen; a word misread on both its lines is a case on both."""
+    common = ["若缓存为空则返回错误。", "读取缓存的结果并写入缓存。", "The caller must flush the internal cache in user-mode code at once.", "A multiple of pages is still released by the scheduler.", "Tell the softbench and the caller."] * 30
+    text = ["Title of it", "Tell tbe softbench and tbe caller.", "The callcr must flush the intcr-", "nal cachc in user-", "mode code. A muItiple of pages is stiIl releascd.", "// the callcr"]
+    rows = [(i, "d", "p", f"f{i % 9}", i, "description", t) for i, t in enumerate(["Other title", *common])] + [(1000 + i, "d", "p", "last", i, "description", t) for i, t in enumerate(text)]
+    lines = spark.createDataFrame(rows, LINE)
+    got = " ".join(r.text for r in ocrrepair.paragraphs(lines).where("file_name = 'last'").collect())
+    assert "Tell the softbench and the caller." in got
+    assert "The caller must flush the internal cache in user-mode code. A multiple of pages is still released." in got
+    bad = {r.line_id for r in ocrrepair.found(lines).where("fault = 'misread'").collect()}
+    assert {1002, 1003, 1004, 1005} <= bad and not any(i < 1000 for i in bad)
+
+
+def test_parts_and_places():
+    assert ocrrepair._differs("intcrnal", "internal", 5) == (True, False) and ocrrepair._differs("intcrnal", "internal", 3) == (False, True)
+    assert ocrrepair._differs("cachcdc", "cachede", 5) == (True, True)
+    found = [("mi", 0), ("Iliseconds", 2), ("x", 13)]
+    assert ocrrepair.merges(found) == [{"at": 0, "seen": "miIliseconds", "meant": "milliseconds"}]
+    assert ocrrepair.merges([("fa", 0), ("I", 2), ("Is", 3)])[0]["meant"] == "falls" and ocrrepair.merges([("Size", 0), ("Info", 5)]) == []
+
+
+def test_confusions_are_estimated(spark):
+    """Where the corpus misreads e as c alone, that pair gains and its rivals lose; without errors all keep their start."""
+    words = [(w, 400) for w in ("the", "caller", "cache", "release", "header")] + [(w, 9) for w in ("thc", "callcr", "cachc", "rclease", "hcader")]
+    counts = spark.createDataFrame(words, "word string, n long")
+    got = ocrrepair.estimated(counts)
+    assert got["e", "c"] > ocrrepair.CONFUSIONS["e", "c"] and got["m", "rn"] == ocrrepair.CONFUSIONS["m", "rn"]
+    assert ocrrepair.estimated(counts.limit(0)) == ocrrepair.CONFUSIONS
+    assert ocrrepair.undone("tbc")["the"][1] == ("e c", "h b") or ocrrepair.undone("tbc")["the"][1] == ("h b", "e c")
+
+
+def test_page_numbers_go_on_by_the_length_of_pages(spark):
+    texts = ["Widget Queue Reference"]
+    for page in range(1, 12):
+        texts += ["The caller must flush the cache."] * 25 + ([str(page), "Widget Queue Reference"] if page not in (4, 5, 6) else [str(page)] if page == 6 else []) + (["A line.", "64", "A line."] if page == 8 else [])
+    lines = spark.createDataFrame([(i, "d", "p", "f", i, "description", t) for i, t in enumerate(texts)], LINE)
+    got = {r.line_id for r in ocrrepair.furniture(lines).where("fault = 'page_number'").collect()}
+    assert {texts[i] for i in got} == {"1", "2", "3", "6", "7", "8", "9", "10", "11"} and len(got) == 9
