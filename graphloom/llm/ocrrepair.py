@@ -67,6 +67,7 @@ WEIGHT = 0.3
 #: Probability of (meant, seen).
 Channel = dict[tuple[str, str], float]
 _PART = re.compile(r"[A-Z0-9][A-Z0-9]+(?![a-z0-9])|[A-Z]?[a-z0-9À-ɏ̀-ͯЀ-ӿ]+|[A-Z0-9]+(?![a-z])|[A-Z]|[㐀-鿿]|[぀-ヿ]+|[。，、；：！？,.;:!?]")
+_INNER = re.compile("[a-z]I")
 HAN = r"^[\x{3400}-\x{9FFF}]$"
 _HYPHEN = "[-\\x{2010}\\x{2011}\\x{AD}\\x{AC}]"
 _PAGE = r"^(?:第\s*[0-9OoIl]+\s*[页頁]|[-—–]\s*[0-9OoIl]+\s*[-—–]|≦\s*[0-9OoIl]+\s*≧|[0-9]+\s*/\s*[0-9]+|\[\s*[0-9]+\s*\])$"
@@ -158,7 +159,7 @@ def words_of(texts: DataFrame) -> DataFrame:
                     text = text[:at] + re.match(r"[^\W_]*", nxt).group()
                 found = [(m.group(), m.start()) for m in _PART.finditer(text)]
                 words = [w for w, _ in found]
-                out.append((words, [base + x for _, x in found], [min(len(w), max(0, at - x)) for w, x in found], 0 if pd.isna(skip) else int(skip), merges(found)))
+                out.append((words, [base + x for _, x in found], [min(len(w), max(0, at - x)) for w, x in found], 0 if pd.isna(skip) else int(skip), merges(found) if _INNER.search(text) else []))
             yield pd.DataFrame({"line_id": b["line_id"], "next_id": b["next_id"]} | {c: [o[i] for o in out] for i, c in enumerate(("words", "starts", "cuts", "skip", "merges"))})
 
     return texts.select("line_id", "next_id", "t", "body", "next", "hyphen", "begun", "next_lead").mapInPandas(run, WORDS)
@@ -237,14 +238,14 @@ def learned(places: DataFrame, counts: DataFrame) -> DataFrame:
     )
 
 
-def undone(word: str, channel: Channel = CONFUSIONS) -> dict[str, tuple[float, tuple[str, ...]]]:
+def undone(word: str) -> dict[str, tuple[float, tuple[str, ...]]]:
     """Words that one or two confusions make into ``word``, with the probability of that and what was read for what."""
     out: dict[str, tuple[float, tuple[str, ...]]] = {}
     frontier: dict[str, tuple[float, tuple[str, ...]]] = {word: (1.0, ())}
     for _ in range(2):
         reached: dict[str, tuple[float, tuple[str, ...]]] = {}
         for w, (p, used) in frontier.items():
-            for (meant, seen), q in channel.items():
+            for (meant, seen), q in CONFUSIONS.items():
                 at = w.find(seen)
                 while at >= 0:
                     v = w[:at] + meant + w[at + len(seen) :]
@@ -256,8 +257,8 @@ def undone(word: str, channel: Channel = CONFUSIONS) -> dict[str, tuple[float, t
     return out
 
 
-def _latin(counts: DataFrame, channel: Channel) -> DataFrame:
-    """(word, n_word, meant, p, used, n_meant): Latin words with the likelier words that misreading may have made them from.
+def _latin(counts: DataFrame) -> DataFrame:
+    """(word, n_word, meant, used, n_meant): Latin words with the likelier words that misreading may have made them from.
 
     Longer words than the longest that is met often enough to be meant, and the two characters that two confusions add, need not be taken apart.
     """
@@ -265,16 +266,22 @@ def _latin(counts: DataFrame, channel: Channel) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(w, n, v, p, list(used)) for w, n in zip(b["word"], b["n"]) for v, (p, used) in undone(w, channel).items()]
-            yield pd.DataFrame(rows, columns=["word", "n_word", "meant", "p", "used"])
+            rows = [(w, n, v, list(used)) for w, n in zip(b["word"], b["n"]) for v, (_, used) in undone(w).items()]
+            yield pd.DataFrame(rows, columns=["word", "n_word", "meant", "used"])
 
     known = counts.select(F.col("word").alias("meant"), F.col("n").alias("n_meant"))
     rate = F.when(F.col("word").rlike("[A-Za-z][0-9][A-Za-z]|^[0-9][A-Za-z]{2}|[A-Za-z]{3}[015]$"), MIXED_RATE).otherwise(RATE)
-    asked = counts.where(F.col("word").rlike("[A-Za-z]") & F.length("word").between(2, longest + 2)).mapInPandas(run, "word string, n_word long, meant string, p double, used array<string>")
+    asked = counts.where(F.col("word").rlike("[A-Za-z]") & F.length("word").between(2, longest + 2)).mapInPandas(run, "word string, n_word long, meant string, used array<string>")
     return asked.join(known, "meant").where((F.col("n_word") <= FREE + rate * F.col("n_meant")) & (F.col("n_meant") >= 4 * F.col("n_word")))
 
 
-def estimated(counts: DataFrame, rounds: int = ROUNDS, prior: float = PRIOR) -> Channel:
+def _likelihood(channel: Channel) -> Column:
+    """The probability of the confusions in ``used``."""
+    p = F.create_map(*[F.lit(x) for (meant, seen), q in channel.items() for x in (f"{meant} {seen}", float(q))])
+    return F.aggregate("used", F.lit(1.0), lambda acc, u: acc * F.element_at(p, u))
+
+
+def estimated(doubtful: DataFrame, rounds: int = ROUNDS, prior: float = PRIOR) -> Channel:
     """Confusion probabilities of the corpus by expectation maximization, from those of ``CONFUSIONS``.
 
     Expectation: each doubtful word is one of its candidates, or right, in proportion to probability and frequency, and its
@@ -283,9 +290,9 @@ def estimated(counts: DataFrame, rounds: int = ROUNDS, prior: float = PRIOR) ->
     """
     channel = dict(CONFUSIONS)
     for _ in range(rounds):
-        doubtful = _latin(counts, channel).withColumn("w", F.col("p") * F.pow("n_meant", F.lit(WEIGHT)))
-        share = F.col("w") / (F.sum("w").over(W.partitionBy("word")) + GENUINE)
-        errors = {r["used"]: r["e"] for r in doubtful.withColumn("share", share * F.col("n_word")).select(F.explode("used").alias("used"), "share").groupBy("used").agg(F.sum("share").alias("e")).collect()}
+        w = _likelihood(channel) * F.pow("n_meant", F.lit(WEIGHT))
+        share = F.col("w") / (F.sum("w").over(W.partitionBy("word")) + GENUINE) * F.col("n_word")
+        errors = {r["used"]: r["e"] for r in doubtful.withColumn("w", w).withColumn("share", share).select(F.explode("used").alias("used"), "share").groupBy("used").agg(F.sum("share").alias("e")).collect()}
         at: dict[str, float] = {}
         for meant, seen in channel:
             at[meant] = at.get(meant, 0.0) + errors.get(f"{meant} {seen}", 0.0)
@@ -293,15 +300,17 @@ def estimated(counts: DataFrame, rounds: int = ROUNDS, prior: float = PRIOR) ->
     return channel
 
 
-def candidates(counts: DataFrame, confusions: DataFrame, channel: Channel | None = None) -> DataFrame:
+def candidates(counts: DataFrame, confusions: DataFrame) -> DataFrame:
     """(word, options): for each distinct word the likelier words that misreading may have made it from.
 
     A word is kept as it is where it is met more often than misreading its candidate explains.
     """
+    doubtful = materialize(_latin(counts))
+    latin = doubtful.withColumn("p", _likelihood(estimated(doubtful)))
     known = counts.select(F.col("word").alias("meant"), F.col("n").alias("n_meant"))
     han = confusions.join(counts, confusions["seen"] == counts["word"]).select("word", F.col("n").alias("n_word"), "meant", "p").join(known, "meant")
-    likely = _latin(counts, channel or CONFUSIONS).select("word", "n_word", "meant", "p", "n_meant").unionByName(han.select("word", "n_word", "meant", "p", "n_meant"))
-    return likely.groupBy("word").agg(F.max("n_word").alias("n_word"), F.collect_list(F.struct("meant", "p", "n_meant")).alias("options"))
+    columns = ("word", "n_word", "meant", "p", "n_meant")
+    return latin.select(*columns).unionByName(han.select(*columns)).groupBy("word").agg(F.max("n_word").alias("n_word"), F.collect_list(F.struct("meant", "p", "n_meant")).alias("options"))
 
 
 def viterbi(words: list[str], options: dict[int, list[tuple[str, float, int]]], own: dict[int, int], pairs: dict[str, int]) -> dict[int, str]:
@@ -372,7 +381,7 @@ def decoded(words: DataFrame) -> DataFrame:
     counts = materialize(words.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")))
     places = materialize(_places(words).groupBy("kind", "place", "x").agg(F.count("*").alias("n")))
     confusions = materialize(learned(places, counts))
-    options = materialize(candidates(counts, confusions, estimated(counts)))
+    options = materialize(candidates(counts, confusions))
     used = confusions.where("used").select("seen").distinct()
     own = places.join(_tops(places), ["kind", "place"]).where((F.col("n") >= LOOSE[0]) & (F.col("n") * LOOSE[1] > F.col("top.n"))).select("kind", "place", "x")
     at_home = _places(words, used).join(own, ["kind", "place", "x"], "left_semi").select("line_id", "at").distinct()

@@ -81,9 +81,9 @@ def test_confusions_are_estimated(spark):
     """Where the corpus misreads e as c alone, that pair gains and its rivals lose; without errors all keep their start."""
     words = [(w, 400) for w in ("the", "caller", "cache", "release", "header")] + [(w, 9) for w in ("thc", "callcr", "cachc", "rclease", "hcader")]
     counts = spark.createDataFrame(words, "word string, n long")
-    got = ocrrepair.estimated(counts)
+    got = ocrrepair.estimated(ocrrepair._latin(counts))
     assert got["e", "c"] > ocrrepair.CONFUSIONS["e", "c"] and got["m", "rn"] == ocrrepair.CONFUSIONS["m", "rn"]
-    assert ocrrepair.estimated(counts.limit(0)) == ocrrepair.CONFUSIONS
+    assert ocrrepair.estimated(ocrrepair._latin(counts.limit(0))) == ocrrepair.CONFUSIONS
     assert ocrrepair.undone("tbc")["the"][1] == ("e c", "h b") or ocrrepair.undone("tbc")["the"][1] == ("h b", "e c")
 
 
