@@ -29,7 +29,7 @@ def _block(key: Column, blocks: int) -> Column:
 
 def _bits(key: Column, probes: int) -> list[Column]:
     second = F.xxhash64(key, F.lit(0x9E3779B9))
-    return [(F.shiftrightunsigned(second, 12 * i) % (WORDS * 64)).cast("int") for i in range(probes)]
+    return [F.shiftrightunsigned(second, 12 * i).bitwiseAND(F.lit(WORDS * 64 - 1)).cast("int") for i in range(probes)]
 
 
 def build(keys: DataFrame, key: str, blocks: int, probes: int = 5) -> DataFrame:

@@ -4,6 +4,10 @@ An edit belongs to the node under review. Nodes with a deletion, and nodes merge
 other edits. Removal times are found by iterating joins until they settle: whether a merge happens depends only on
 earlier removals, so the rounds needed are the depth of merges into merged nodes, not the length of the log.
 
+An edge keeps its name until a merge after it was drawn renames an end; deletions meet it under the name it has then. A merged
+node's fields go to the first node they reach that lacks them, along the whole chain. Edges are known by (origin, edge_no): 0 for those of the graph,
+1 for those drawn, whose number is that of their edit.
+
 Defined results. Edits without a node, target or known field are skipped and counted. A node merged into itself is
 removed. A removed node that is added again stays. ``strict`` drops edges that end in a removed node; without it
 only those whose removed name was added again are dropped, as a compatible run does.
@@ -19,10 +23,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from graphloom.grammar import EDITABLE, EDITS, OCR
+from graphloom.operators.skew import hot_keys, left_join_unique
 from graphloom.session import materialize
 
-#: Edits of one answer, at most, in the order of edits.
-PER_ANSWER = 1_000_000
+#: Later than every edit.
+FOREVER = (1 << 63) - 1
 _FILLED = ("description", "syntax", "return_value", "remarks", "header", "parameters", "members", "cross_references")
 
 
@@ -38,7 +43,8 @@ class Replayed:
 def collected(answers: DataFrame) -> DataFrame:
     """(seq, entity_id, op, ...) of answers (entity_id, ord, response), one answer per entity, the last one.
 
-    A verdict to delete without a deletion among its operations adds one.
+    A verdict to delete without a deletion among its operations adds one. Edits are numbered by (ord, entity_id, place in the answer): a range
+    sort, so numbers never collide, whatever ``ord`` holds.
     """
     last = answers.groupBy("entity_id").agg(F.max_by(F.struct("ord", "response"), "ord").alias("x")).select("entity_id", "x.ord", "x.response")
     ops = F.col("response.operations")
@@ -46,7 +52,8 @@ def collected(answers: DataFrame) -> DataFrame:
     null = F.lit(None).cast("string")
     delete = F.struct(F.lit("delete_node").alias("op"), *[null.alias(c) for c in ("field", "value", "target", "edge_type", "name", "entity_type", "description")], F.col("response.summary").alias("reason"), null.alias("target_id"))
     every = F.when(implied, F.concat(ops, F.array(delete))).otherwise(ops)
-    return last.select("entity_id", "ord", F.posexplode(every).alias("i", "o")).select((F.col("ord") * PER_ANSWER + F.col("i")).alias("seq"), "entity_id", "o.*")
+    rows = last.select("entity_id", "ord", F.posexplode(every).alias("i", "o")).orderBy("ord", "entity_id", "i")
+    return materialize(rows.select(F.monotonically_increasing_id().alias("seq"), "entity_id", "o.*"))
 
 
 def _filled(c: str) -> Column:
@@ -76,40 +83,75 @@ def removals(ops: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame, Da
             return blocked, deletions.select("id", "at"), done
 
 
-def renames(merges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(name, at, final, last_at): where each merged name ends up, following later merges of its targets."""
-    names = nodes.select("id", "name")
-    step = merges.join(names, "id").select("name", "at", F.col("into").alias("id")).join(names.withColumnRenamed("name", "to"), "id").select("name", "at", "to")
-    paths = materialize(step.select("name", "at", F.col("to").alias("final"), F.col("at").alias("last_at")))
+def paths(merges: DataFrame) -> DataFrame:
+    """(id, hop, into, at, times): every node that a merged one passes on to, hop by hop; ``times`` from the last hop back to the first.
+
+    A merge into a node that was merged before never takes place, so the times of a path rise and it never returns.
+    """
+    step = merges.where(F.col("id") != F.col("into")).select(F.col("id").alias("into"), F.col("into").alias("next"), F.col("at").alias("next_at"))
+    reached = materialize(merges.where(F.col("id") != F.col("into")).select("id", F.lit(1).alias("hop"), "into", "at", F.array("at").alias("times")))
+    every = reached
     while True:
-        nxt = step.select(F.col("name").alias("final"), F.col("at").alias("next_at"), F.col("to").alias("next"))
-        longer = paths.join(nxt, "final", "left").withColumn("on", F.col("next_at").isNotNull() & (F.col("next_at") > F.col("last_at")))
-        if longer.where("on").isEmpty():
-            return paths
-        paths = materialize(longer.select("name", "at", F.when(F.col("on"), F.col("next")).otherwise(F.col("final")).alias("final"), F.when(F.col("on"), F.col("next_at")).otherwise(F.col("last_at")).alias("last_at")))
+        reached = materialize(reached.join(step, "into").select("id", (F.col("hop") + 1).alias("hop"), F.col("next").alias("into"), F.col("next_at").alias("at"), F.concat(F.array("next_at"), "times").alias("times")))
+        if reached.isEmpty():
+            return every
+        every = every.unionByName(reached)
 
 
-def _deleted_edges(edges: DataFrame, deletes: DataFrame) -> DataFrame:
-    """edge_no of the edges that deletions take: each the first one left of its unordered pair, and type if given.
+def _versions(edges: DataFrame, hops: DataFrame) -> DataFrame:
+    """``edges`` with the names of their ends from ``since`` until before ``until``, one row per period.
 
-    A pair with n deletions needs only its first n edges per type, so no group outgrows its own deletions.
+    ``hops`` (name, hop, to, at) are the renamings of names; an end is renamed by those after its edge was drawn.
+    """
+    out = edges.withColumns({"since": F.col("added_at"), "until": F.lit(FOREVER)})
+    first = hops.where("hop = 1").select("name", F.col("at").alias("begins"))
+    spans = hops.join(first, "name").groupBy("name", "begins").agg(F.array_sort(F.collect_list(F.struct("at", "to"))).alias("spans"))
+    for end in ("source", "target"):
+        named = spans.select(F.col("name").alias(end), "begins", "spans")
+        joined = left_join_unique(out, named, end, hot_keys(out, end))
+        later = F.coalesce(F.col("begins") > F.col("added_at"), F.lit(False))
+        start = F.array(F.struct(F.lit(-1).cast("long").alias("at"), F.col(end).alias("to")))
+        joined = joined.withColumn("spans", F.when(later, F.concat(start, "spans")).otherwise(start))
+        one = joined.select(*out.columns, F.posexplode("spans").alias("i", "span"), "spans")
+        ends = F.coalesce(F.try_element_at("spans", F.col("i") + 2)["at"], F.lit(FOREVER))
+        out = one.withColumns({end: F.col("span.to"), "since": F.greatest("since", "span.at"), "until": F.least("until", ends)}).where("since < until").select(*out.columns)
+    return out
+
+
+def _deleted_edges(versions: DataFrame, deletes: DataFrame) -> DataFrame:
+    """(origin, edge_no, seq) of the edges that deletions take: each the first one there of its unordered pair, and type if given.
+
+    Of a pair with n deletions only the first n edges per type that are there all along can be taken; renamed and drawn ones are
+    kept besides, so no group outgrows its own deletions and merges. What is taken under one name is missing under later ones: passes are repeated
+    until nothing changes, at most as often as an edge is renamed.
     """
     pair = lambda a, b: F.concat_ws("\x01", F.least(a, b), F.greatest(a, b))
-    d = deletes.select(pair("source", "target").alias("pair"), "seq", F.col("edge_type").alias("wanted"))
+    d = materialize(deletes.select(pair("source", "target").alias("pair"), "seq", F.col("edge_type").alias("wanted")))
     n = d.groupBy("pair").agg(F.count("*").alias("n"))
-    e = edges.withColumn("pair", pair("source", "target")).join(n, "pair").withColumn("r", F.row_number().over(W.partitionBy("pair", "type").orderBy("edge_no"))).where("r <= n")
-    e = e.select("pair", "edge_no", "type", "added_at")
+    whole = (F.col("since") == -1) & (F.col("until") == FOREVER)
+    near = versions.withColumn("pair", pair("source", "target")).join(n, "pair")
+    near = near.withColumn("r", F.row_number().over(W.partitionBy("pair", "type", whole).orderBy("origin", "edge_no"))).where(~whole | (F.col("r") <= F.col("n")))
+    near = materialize(near.select("pair", "origin", "edge_no", "type", "since", "until"))
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        free, taken = left.sort_values("edge_no").to_dict("records"), []
+        free, taken = left.sort_values(["origin", "edge_no"]).to_dict("records"), []
         for op in right.sort_values("seq").itertuples():
-            hit = next((x for x in free if x["added_at"] < op.seq and (not op.wanted or x["type"] == op.wanted)), None)
+            hit = next((x for x in free if x["since"] < op.seq < x["until"] and (not op.wanted or x["type"] == op.wanted)), None)
             if hit is not None:
                 free.remove(hit)
-                taken.append((hit["edge_no"], op.seq))
-        return pd.DataFrame(taken, columns=["edge_no", "seq"])
+                taken.append((hit["origin"], hit["edge_no"], op.seq))
+        return pd.DataFrame(taken, columns=["origin", "edge_no", "seq"])
 
-    return e.groupBy("pair").cogroup(d.groupBy("pair")).applyInPandas(run, "edge_no long, seq long")
+    taken: DataFrame | None = None
+    while True:
+        left = near
+        if taken is not None:
+            left = near.join(taken, ["origin", "edge_no"], "left").where("seq is null or since < seq").drop("seq")
+        now = left.groupBy("pair").cogroup(d.groupBy("pair")).applyInPandas(run, "origin int, edge_no long, seq long")
+        now = materialize(now.groupBy("origin", "edge_no").agg(F.min("seq").alias("seq")))
+        if now.isEmpty() or (taken is not None and now.exceptAll(taken).isEmpty() and taken.exceptAll(now).isEmpty()):
+            return now
+        taken = now
 
 
 def replay(nodes: DataFrame, edges: DataFrame, ops: DataFrame, strict: bool = True, namespace: str = OCR.namespace) -> Replayed:
@@ -117,6 +159,7 @@ def replay(nodes: DataFrame, edges: DataFrame, ops: DataFrame, strict: bool = Tr
     ops, nodes = materialize(ops), materialize(nodes)
     blocked, deletions, merges = removals(ops, nodes)
     deletions, merges = materialize(deletions), materialize(merges)
+    passed = paths(merges)
     free = ops.join(blocked, F.col("entity_id") == F.col("id"), "left_anti")
 
     node_id = F.concat(F.lit(f"{namespace}::"), F.col("name"))
@@ -137,8 +180,8 @@ def replay(nodes: DataFrame, edges: DataFrame, ops: DataFrame, strict: bool = Tr
     fills = [c for c in _FILLED if c in types]
     if fills:
         empty = lambda c: F.col(c).isNull() | ((F.size(c) == 0) if types[c].startswith("array") else (F.col(c) == "") if types[c] == "string" else F.lit(False))
-        donors = merges.where(F.col("id") != F.col("into")).join(nodes.select("id", *fills), "id")
-        donated = donors.groupBy(F.col("into").alias("id")).agg(*[F.min_by(c, F.when(~empty(c), F.col("at"))).alias(f"from_{c}") for c in fills])
+        donors = passed.join(nodes.select("id", *fills), "id")
+        donated = donors.groupBy(F.col("into").alias("id")).agg(*[F.min_by(c, F.when(~empty(c), F.col("times"))).alias(f"from_{c}") for c in fills])
         kept = kept.join(donated, "id", "left")
     for c in nodes.columns:
         if c in EDITABLE:
@@ -159,16 +202,16 @@ def replay(nodes: DataFrame, edges: DataFrame, ops: DataFrame, strict: bool = Tr
     new = owned.where((F.col("op") == "add_edge") & _filled("target") & _filled("source"))
     files = nodes.select(F.col("id").alias("entity_id"), "source_file") if "source_file" in types else None
     new = new.join(files, "entity_id", "left") if files is not None else new.withColumn("source_file", F.lit(None).cast("string"))
-    drawn = new.select((F.col("seq") + (1 << 40)).alias("edge_no"), "source", "target", F.coalesce("edge_type", F.lit("references")).alias("type"), F.coalesce("source_file", F.lit("llm")).alias("source_file"), F.col("seq").alias("added_at"))
-    every = edges.select("edge_no", "source", "target", "type", "source_file", F.lit(-1).cast("long").alias("added_at")).unionByName(drawn)
+    key = ("origin", "edge_no")
+    drawn = new.select(F.lit(1).alias("origin"), F.col("seq").alias("edge_no"), "source", "target", F.coalesce("edge_type", F.lit("references")).alias("type"), F.coalesce("source_file", F.lit("llm")).alias("source_file"), F.col("seq").alias("added_at"))
+    old = edges.select(F.lit(0).alias("origin"), "edge_no", "source", "target", "type", "source_file", F.lit(-1).cast("long").alias("added_at"))
+    names = nodes.select("id", "name")
+    hops = passed.join(names, "id").select("name", "hop", F.col("into").alias("id"), "at").join(names.withColumnRenamed("name", "to"), "id").select("name", "hop", "to", "at")
+    versions = materialize(_versions(old.unionByName(drawn), hops))
 
     deletes = owned.where((F.col("op") == "delete_edge") & _filled("target") & _filled("source"))
-    taken = materialize(_deleted_edges(every, deletes))
-    left = every.join(taken, "edge_no", "left_anti")
-    moved = renames(merges, nodes)
-    for end in ("source", "target"):
-        to = moved.select(F.col("name").alias(end), F.col("at").alias("moved_at"), "final")
-        left = left.join(to, end, "left").withColumn(end, F.when(F.col("moved_at") > F.col("added_at"), F.col("final")).otherwise(F.col(end))).drop("moved_at", "final")
+    taken = _deleted_edges(versions, deletes)
+    left = versions.where(F.col("until") == FOREVER).join(taken, list(key), "left_anti")
     lost = deletions.join(nodes.select("id", "name"), "id").select("name").unionByName(merges.join(nodes.select("id", "name"), "id").select("name"))
     again = lost.join(added.select("name"), "name", "left_semi")
     drop = (lost.join(added.select("name"), "name", "left_anti") if strict else again).distinct()
@@ -182,7 +225,7 @@ def replay(nodes: DataFrame, edges: DataFrame, ops: DataFrame, strict: bool = Tr
     )
     counts = done.groupBy("op").agg(F.count("*").alias("n"))
     all_ = ops.where(F.col("op").isin(*EDITS)).select(F.lit("skipped").alias("op"), F.lit(1).alias("v")).unionByName(done.select(F.lit("skipped").alias("op"), F.lit(-1).alias("v")))
-    return Replayed(new_nodes, left.drop("added_at"), counts.unionByName(all_.groupBy("op").agg(F.sum("v").alias("n"))))
+    return Replayed(new_nodes, left.drop("added_at", "since", "until"), counts.unionByName(all_.groupBy("op").agg(F.sum("v").alias("n"))))
 
 
 def op_counts(ops: DataFrame) -> DataFrame:

@@ -126,7 +126,7 @@ class Reader:
 
 def read(text: str | None, wanted: tuple[str, ...] = ("verdict", "confidence", "summary", "operations")) -> dict | None:
     """The object an answer holds, None if no object in it has a ``wanted`` field."""
-    body = _THOUGHTS.sub("", text or "").replace("﻿", "").strip()
+    body = _THOUGHTS.sub("", text or "").strip().lstrip("\ufeff").strip()
     try:
         whole = json.loads(body)
     except (ValueError, RecursionError):

@@ -49,16 +49,53 @@ def _classified(spark: SparkSession, d: str) -> DataFrame:
     return lines.classify(_lines(spark, d), GENERIC)
 
 
-def _edits(spark: SparkSession, d: str) -> DataFrame:
-    """An edit log made of the refined rows: each row edits, links, adds, deletes or merges, by its key."""
-    r = table(spark, d, "refined").where("name is not null and refined_id is not null")
-    kind = F.element_at(F.array(*map(F.lit, ("update_field", "add_edge", "delete_edge", "add_node", "update_field", "delete_node", "merge_into"))), (F.col("refined_id") % 7 + 1).cast("int"))
-    named = F.concat(F.lit("windows::"), F.col("name"))
-    return r.select(
-        F.col("refined_id").alias("seq"), named.alias("entity_id"), kind.alias("op"), F.element_at(F.array(F.lit("description"), F.lit("header"), F.lit("color")), (F.col("refined_id") % 3 + 1).cast("int")).alias("field"),
-        F.coalesce("description", F.lit("")).alias("value"), F.coalesce("header", F.lit("")).alias("target"), F.lit(None).cast("string").alias("edge_type"), F.concat("name", F.lit("_NEW")).alias("name"),
-        "entity_type", "description", F.lit(None).cast("string").alias("reason"), F.lit("windows::none").alias("target_id"),
+def _answers(spark: SparkSession, d: str) -> DataFrame:
+    """(refined_id, entity_id, ord, raw): a reviewer's answer to each refined row, as clean or damaged text by its key.
+
+    By its key a row edits fields, draws or deletes an edge (of a type, or of any), adds a node, merges its node into that of a following row,
+    or is to be deleted without an operation saying so. Targets are real names, so merges, chains of them and deletions take place.
+    """
+    small_batches(spark)
+    rows = table(spark, d, "refined").where("name is not null and refined_id is not null").select("refined_id", "name", "entity_type", F.coalesce("description", F.lit("")).alias("description"))
+    step = F.when(F.col("refined_id") % 14 == 6, 7).otherwise(1)
+    ahead = rows.select(F.col("refined_id").alias("ahead"), F.col("name").alias("other"))
+    known = table(spark, d, "edges").where("target <> ''").groupBy(F.col("source").alias("name")).agg(F.min("target").alias("linked"))
+    every = rows.withColumn("ahead", F.col("refined_id") + step).join(ahead, "ahead", "left").join(known, "name", "left").withColumn("other", F.coalesce("other", "name"))
+    every = every.selectExpr(
+        "refined_id", "concat('windows::', name) AS entity_id", "refined_id AS ord", "refined_id % 12 AS form", "name", "other", "linked", "entity_type", "description",
+        "element_at(array('keep', 'keep', 'keep', 'keep', 'keep', 'delete', 'merge'), CAST(refined_id % 7 + 1 AS INT)) AS verdict",
     )
+    op = lambda kind, **fields: F.struct(F.lit(kind).alias("op"), *[(fields[c] if c in fields else F.lit(None).cast("string")).alias(c) for c in ("field", "value", "target", "edge_type", "name", "entity_type", "description", "target_id")])
+    pick = F.element_at(F.array(F.lit("description"), F.lit("header"), F.lit("color")), (F.col("refined_id") % 3 + 1).cast("int"))
+    typed = F.when(F.col("refined_id") % 2 == 1, "references")
+    made = {
+        0: [op("update_field", field=pick, value=F.col("description")), op("add_edge", target=F.col("other"), edge_type=F.lit("uses"))],
+        1: [op("add_edge", target=F.col("other"), edge_type=F.lit("uses"))],
+        2: [op("delete_edge", target=F.coalesce("linked", "other"), edge_type=typed)],
+        3: [op("add_node", name=F.concat("name", F.lit("_NEW")), entity_type=F.col("entity_type"), description=F.col("description"))],
+        4: [op("update_field", field=F.lit("entity_type"), value=F.lit("enum"))],
+        6: [op("merge_into", target_id=F.concat(F.lit("windows::"), F.col("other")))],
+    }
+    none = F.array().cast("array<struct<op:string,field:string,value:string,target:string,edge_type:string,name:string,entity_type:string,description:string,target_id:string>>")
+    listed = F.coalesce(*[F.when(F.col("refined_id") % 7 == k, F.array(*v)) for k, v in made.items()], none)
+    text = F.to_json(F.struct("verdict", (F.col("refined_id") % 10 / 10).alias("confidence"), F.concat(F.lit("s"), F.col("refined_id").cast("string")).alias("summary"), listed.alias("operations")))
+    damage = {
+        0: text, 1: F.concat(F.lit("```json\n"), text, F.lit("\n```")), 2: F.concat(F.lit("Sure, here it is: "), text, F.lit(" Hope this {helps}.")), 3: F.concat(F.lit('<think>{"verdict":"delete"}</think>'), text),
+        4: F.regexp_replace(text, r"\]\}$", ",]}"), 5: F.regexp_replace(text, '"(verdict|confidence|summary|operations)":', "$1: "), 6: F.regexp_replace(text, r"\]\}$", ""),
+        7: F.concat(F.lit('{"verdict":"keep","confidence":0.5,"summary":"cut","operations":[{"op":"update_field","field":"header","value":"x.h"},{"op":"update_field","field":"description","value":"'), F.col("name")),
+        8: F.concat(F.lit("no answer for "), F.col("name")), 9: F.regexp_replace(text, '"verdict":"[a-z]+"', '"verdict":"burn"'), 10: F.regexp_replace(text, '"confidence":[0-9.]+', '"confidence":"abc"'),
+        11: F.regexp_replace(text, '"confidence":[0-9.]+', '"confidence":7'),
+    }
+    return every.select("refined_id", "entity_id", "ord", F.coalesce(*[F.when(F.col("form") == k, v) for k, v in damage.items()]).alias("raw"))
+
+
+def _edits(spark: SparkSession, d: str) -> DataFrame:
+    """The edits of all answers, the last answer of each node."""
+    return ops.collected(responses.parsed(_answers(spark, d)))
+
+
+def _replayed(spark: SparkSession, d: str) -> ops.Replayed:
+    return ops.replay(_nodes(spark, d).drop("rec_id", "cross_references"), _edges(spark, d), _edits(spark, d))
 
 
 def _segmented(spark: SparkSession, d: str) -> DataFrame:
@@ -84,8 +121,9 @@ def _flagship(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, d: str) -> DataFrame:
-    small_batches(spark)
-    return responses.parsed(table(spark, d, "refined").select("refined_id", F.col("return_value").alias("raw"))).select("refined_id", "response.verdict", "response.confidence", F.size("response.operations").alias("n_operations"))
+    fields = ("op", "field", "value", "target", "edge_type", "name", "entity_type", "description", "target_id")
+    listed = F.array_join(F.transform("response.operations", lambda o: F.concat_ws("|", *[o[c] for c in fields])), ";")
+    return responses.parsed(_answers(spark, d)).select("refined_id", "response.verdict", "response.confidence", "response.summary", listed.alias("operations"))
 
 
 def _parts(spark: SparkSession, d: str) -> DataFrame:
@@ -138,9 +176,9 @@ def queries() -> dict[str, Query]:
         "pending_nodes": lambda s, d: refine.pending(_nodes(s, d), _linked(s, d).select(F.col("source_id").alias("id")), min_confidence=0.7, entity_type="function").select("id", "confidence"),
         "parse_responses": _parsed,
         "edit_counts": lambda s, d: ops.op_counts(_edits(s, d)),
-        "replayed_nodes": lambda s, d: ops.replay(_nodes(s, d).drop("rec_id", "cross_references"), _edges(s, d), _edits(s, d)).nodes.select("id", "name", "description", "header"),
-        "replayed_edges": lambda s, d: ops.replay(_nodes(s, d).drop("rec_id", "cross_references"), _edges(s, d), _edits(s, d)).edges,
-        "replay_counts": lambda s, d: ops.replay(_nodes(s, d).drop("rec_id", "cross_references"), _edges(s, d), _edits(s, d)).counts,
+        "replayed_nodes": lambda s, d: _replayed(s, d).nodes.select("id", "name", "entity_type", "description", "header"),
+        "replayed_edges": lambda s, d: _replayed(s, d).edges.select("source", "target", "type"),
+        "replay_counts": lambda s, d: _replayed(s, d).counts,
         "type_tokens": lambda s, d: _entities(s, d).select("rec_id", F.explode("parameters").alias("p")).select("rec_id", F.explode(F.array_distinct(T.type_tokens(F.col("p.type")))).alias("token")).distinct(),
         "type_edges": lambda s, d: enrich.type_edges(_entities(s, d).withColumn("return_value", F.struct(F.col("return_value.type"), F.col("return_value.description"))), table(s, d, "edges").select("source", "target", F.col("edge_type"), "source_file")),
         "typed_index": lambda s, d: enrich.typed_index(_entities(s, d)),
@@ -216,9 +254,30 @@ _DECIDED_SQL = f"""SELECT coalesce(p.doc_id, t.doc_id) AS doc_id, CASE WHEN t.sc
     WHEN p.score - t.score >= 0.005 THEN printf('heuristic_p (p=%.3f t=%.3f)', p.score, t.score) WHEN t.score - p.score >= 0.005 THEN printf('heuristic_t (p=%.3f t=%.3f)', p.score, t.score) ELSE 'llm_pending' END AS decision,
     CASE WHEN p.score IS NULL OR t.score - p.score >= 0.005 THEN 't' ELSE 'p' END AS winner, p.score AS p_score, t.score AS t_score
     FROM (SELECT * FROM {_SCORES} WHERE src = 'p') p FULL OUTER JOIN (SELECT * FROM {_SCORES} WHERE src = 't') t ON p.doc_id = t.doc_id"""
-_EDIT = """(SELECT refined_id AS seq, 'windows::' || name AS entity_id, (['update_field', 'add_edge', 'delete_edge', 'add_node', 'update_field', 'delete_node', 'merge_into'])[refined_id % 7 + 1] AS op,
-    (['description', 'header', 'color'])[refined_id % 3 + 1] AS field, coalesce(description, '') AS value, coalesce(header, '') AS target, name || '_NEW' AS new_name, entity_type, description FROM refined WHERE name IS NOT NULL)"""
-_RULES = " ".join(f"WHEN regexp_matches(name, '{p}') THEN '{t}'" for p, t in OCR.type_rules)
+_ANSWER = """(WITH r AS (SELECT refined_id, name, entity_type, coalesce(description, '') AS description FROM refined WHERE name IS NOT NULL),
+    k AS (SELECT source AS name, min(target) AS linked FROM edges WHERE target <> '' GROUP BY source),
+    a AS (SELECT r.*, coalesce(x.name, r.name) AS other, linked FROM r LEFT JOIN r x ON x.refined_id = r.refined_id + CASE WHEN r.refined_id % 14 = 6 THEN 7 ELSE 1 END LEFT JOIN k ON k.name = r.name)
+    SELECT refined_id, name, CASE WHEN refined_id % 12 = 8 THEN 'keep' WHEN refined_id % 12 IN (7, 9) OR refined_id % 7 < 5 THEN 'keep' WHEN refined_id % 7 = 5 THEN 'delete' ELSE 'merge' END AS verdict,
+    CASE refined_id % 12 WHEN 7 THEN 0.5 WHEN 8 THEN 0.0 WHEN 10 THEN 0.5 WHEN 11 THEN 1.0 ELSE (refined_id % 10) / 10.0 END AS confidence,
+    CASE refined_id % 12 WHEN 7 THEN 'cut' WHEN 8 THEN '解析失败' ELSE 's' || refined_id END AS summary,
+    CASE WHEN refined_id % 12 = 7 THEN [{'op': 'update_field', 'field': 'header', 'value': 'x.h', 'target': NULL, 'edge_type': NULL, 'name': NULL, 'entity_type': NULL, 'description': NULL, 'target_id': NULL}] WHEN refined_id % 12 = 8 THEN []
+    ELSE CASE refined_id % 7
+        WHEN 0 THEN [{'op': 'update_field', 'field': (['description', 'header', 'color'])[refined_id % 3 + 1], 'value': description, 'target': NULL, 'edge_type': NULL, 'name': NULL, 'entity_type': NULL, 'description': NULL, 'target_id': NULL},
+            {'op': 'add_edge', 'field': NULL, 'value': NULL, 'target': other, 'edge_type': 'uses', 'name': NULL, 'entity_type': NULL, 'description': NULL, 'target_id': NULL}]
+        WHEN 1 THEN [{'op': 'add_edge', 'field': NULL, 'value': NULL, 'target': other, 'edge_type': 'uses', 'name': NULL, 'entity_type': NULL, 'description': NULL, 'target_id': NULL}]
+        WHEN 2 THEN [{'op': 'delete_edge', 'field': NULL, 'value': NULL, 'target': coalesce(linked, other), 'edge_type': CASE WHEN refined_id % 2 = 1 THEN 'references' END, 'name': NULL, 'entity_type': NULL, 'description': NULL, 'target_id': NULL}]
+        WHEN 3 THEN [{'op': 'add_node', 'field': NULL, 'value': NULL, 'target': NULL, 'edge_type': NULL, 'name': name || '_NEW', 'entity_type': entity_type, 'description': description, 'target_id': NULL}]
+        WHEN 4 THEN [{'op': 'update_field', 'field': 'entity_type', 'value': 'enum', 'target': NULL, 'edge_type': NULL, 'name': NULL, 'entity_type': NULL, 'description': NULL, 'target_id': NULL}]
+        WHEN 6 THEN [{'op': 'merge_into', 'field': NULL, 'value': NULL, 'target': NULL, 'edge_type': NULL, 'name': NULL, 'entity_type': NULL, 'description': NULL, 'target_id': 'windows::' || other}] ELSE [] END END AS ops FROM a)"""
+_LOG = f"""la AS MATERIALIZED (SELECT * FROM {_ANSWER} QUALIFY row_number() OVER (PARTITION BY name ORDER BY refined_id DESC) = 1),
+    o AS MATERIALIZED (SELECT refined_id * 10 + i AS seq, 'windows::' || name AS entity_id, u.op, u.field, u.value, u.target, u.edge_type, u.name AS new_name, u.entity_type, u.description, u.target_id
+        FROM (SELECT refined_id, name, unnest(ops) AS u, unnest(range(1, len(ops) + 1)) AS i FROM la) UNION ALL
+        SELECT refined_id * 10, 'windows::' || name, 'delete_node', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM la WHERE verdict = 'delete')"""
+_RULES = """WHEN starts_with(name, 'IOCTL_') OR starts_with(name, 'FSCTL_') THEN 'ioctl'
+    WHEN regexp_matches(name, '^(GUID|CLSID|IID|DEVPKEY|PKEY|WM|WS|ERROR|STATUS|FLAG|DXGI)_') THEN 'constant' WHEN regexp_matches(name, '_FLAGS?$') THEN 'enum' WHEN regexp_matches(name, '^(KSPROPERTY|SENSOR)_') THEN 'constant'
+    WHEN regexp_matches(name, '^(EVT|PFN)_|(_CALLBACK|_ROUTINE|_HANDLER|Callback)$') THEN 'callback' WHEN regexp_matches(name, '^_?[A-Z][a-z].*(Ex|ExW|A|W)$') THEN 'function' WHEN regexp_matches(name, '^I[A-Z][a-z]') THEN 'interface'"""
+
+
 def _tokens(c: str) -> str:
     spaced = f"regexp_replace(coalesce({c}, ''), '[\\s*]+', ' ', 'g')"
     words = f"string_split_regex({_strip(f'replace({spaced}, chr(44), chr(32))')}, '\\s+')"
@@ -262,7 +321,7 @@ def oracle_sql() -> dict[str, str]:
         "type_counts": f"SELECT coalesce(entity_type, 'unknown') AS entity_type, count(*) AS n FROM {_NODE} GROUP BY 1",
         "degrees": f"SELECT id, count(*) AS degree FROM (SELECT source_id AS id FROM {_LINK} UNION ALL SELECT target_id FROM {_LINK}) GROUP BY id",
         "pending_nodes": f"SELECT id, confidence FROM {_NODE} WHERE id NOT IN (SELECT source_id FROM {_LINK}) AND coalesce(confidence, 1.0) <= 0.7 AND coalesce(entity_type, 'unknown') = 'function'",
-        "edit_counts": f"SELECT op, count(*) AS n FROM {_EDIT} GROUP BY op",
+        "edit_counts": f"WITH {_LOG} SELECT op, count(*) AS n FROM o GROUP BY op",
         "decisions": _DECIDED_SQL,
         "run_totals": f"SELECT (SELECT count(*) FROM ({_DECIDED_SQL})) AS total_pairs, (SELECT count(*) FROM ({_DECIDED_SQL}) WHERE starts_with(decision, 'llm')) AS llm_compares, (SELECT count(*) FROM entities) AS total_entities, (SELECT count(*) FROM {_EDGE}) AS total_edges",
         "self_test": f"""SELECT e.doc_id, e.src, sum(CASE WHEN coalesce(id, '') = '' THEN 1 ELSE 0 END + CASE WHEN coalesce(name, '') = '' THEN 1 ELSE 0 END + CASE WHEN coalesce(entity_type, '') = '' THEN 1 ELSE 0 END + CASE WHEN coalesce(description, '') = '' THEN 1 ELSE 0 END + CASE WHEN confidence IS NULL THEN 1 ELSE 0 END) AS missing_fields,
@@ -277,11 +336,23 @@ def oracle_sql() -> dict[str, str]:
         "resolved_references": rf"""WITH e AS (SELECT document_id AS doc_id, src, name, concat_ws(' ', description, remarks) AS t FROM entities WHERE name IS NOT NULL AND document_id IS NOT NULL AND src IS NOT NULL),
             r AS (SELECT DISTINCT doc_id, src, name, unnest(list_filter(string_split_regex(t, '[^\p{{L}}\p{{M}}\p{{N}}\p{{Pc}}\x{{200c}}\x{{200d}}]+'), lambda w: regexp_full_match(w, '[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)+') OR (regexp_full_match(w, '[A-Z][a-z][a-zA-Z0-9]{{2,}}') AND NOT {_STOP.format(n="w")}))) AS ref FROM e)
             SELECT doc_id, src, name, list_sort(list(DISTINCT ref)) AS cross_references FROM r WHERE ref <> name AND (ref IN (SELECT name FROM name_index WHERE name IS NOT NULL) OR (doc_id, src, ref) IN (SELECT doc_id, src, name FROM e)) GROUP BY doc_id, src, name""",
-        "replayed_nodes": f"""WITH o AS (SELECT * FROM {_EDIT}), d AS (SELECT DISTINCT entity_id FROM o WHERE op = 'delete_node'), n AS (SELECT * FROM {_NODE}),
-            u AS (SELECT entity_id, field, arg_max(value, seq) AS v FROM o WHERE op = 'update_field' AND entity_id NOT IN (SELECT entity_id FROM d) GROUP BY entity_id, field),
-            a AS (SELECT 'windows::' || new_name AS id, arg_min(new_name, seq) AS name, arg_min_null(description, seq) AS description FROM o WHERE op = 'add_node' AND entity_id NOT IN (SELECT entity_id FROM d) GROUP BY 1)
-            SELECT n.id, n.name, coalesce(x.v, n.description) AS description, coalesce(y.v, n.header) AS header FROM n LEFT JOIN u x ON x.entity_id = n.id AND x.field = 'description' LEFT JOIN u y ON y.entity_id = n.id AND y.field = 'header'
-            WHERE n.id NOT IN (SELECT entity_id FROM d) UNION ALL SELECT id, name, description, NULL FROM a WHERE id NOT IN (SELECT id FROM n)""",
+        "parse_responses": f"SELECT refined_id, verdict, CAST(confidence AS DOUBLE) AS confidence, summary, coalesce(list_aggregate(list_transform(ops, lambda x: concat_ws('|', x.op, x.field, x.value, x.target, x.edge_type, x.name, x.entity_type, x.description, x.target_id)), 'string_agg', ';'), '') AS operations FROM {_ANSWER}",
+        "replayed_nodes": f"""WITH RECURSIVE n AS MATERIALIZED (SELECT * FROM {_NODE}), {_LOG},
+            d AS (SELECT DISTINCT entity_id AS id FROM o WHERE op = 'delete_node'), m AS (SELECT entity_id AS id, target_id AS goal, seq FROM o WHERE op = 'merge_into' AND target_id IN (SELECT id FROM n)),
+            c AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY seq) AS k FROM (SELECT entity_id AS id, NULL AS goal, min(seq) AS seq FROM o WHERE op = 'delete_node' AND entity_id NOT IN (SELECT id FROM m) GROUP BY entity_id
+                UNION ALL SELECT id, goal, seq FROM m WHERE id NOT IN (SELECT id FROM d)) WHERE id IN (SELECT id FROM n)),
+            g AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS VARCHAR[]) AS gone UNION ALL SELECT c.k, CASE WHEN c.goal IS NULL OR NOT list_contains(gone, c.goal) THEN list_append(gone, c.id) ELSE gone END FROM g JOIN c ON c.k = g.k + 1),
+            done AS MATERIALIZED (SELECT c.id, c.goal, c.seq FROM c JOIN g ON g.k = c.k - 1 WHERE c.goal IS NULL OR NOT list_contains(g.gone, c.goal)),
+            p AS (SELECT id, goal, seq, [seq] AS times FROM done WHERE goal <> id UNION ALL SELECT p.id, done.goal, done.seq, list_prepend(done.seq, p.times) FROM p JOIN done ON done.id = p.goal WHERE done.goal <> done.id),
+            f AS (SELECT p.goal AS id, arg_min(n.description, times) FILTER (WHERE n.description <> '') AS description, arg_min(n.header, times) FILTER (WHERE n.header <> '') AS header FROM p JOIN n ON n.id = p.id GROUP BY p.goal),
+            q AS (SELECT * FROM o WHERE entity_id NOT IN (SELECT id FROM d) AND entity_id NOT IN (SELECT id FROM m)),
+            u AS (SELECT entity_id, field, value AS v FROM q WHERE op = 'update_field'),
+            a AS (SELECT 'windows::' || new_name AS id, arg_min(new_name, seq) AS name, arg_min_null(entity_type, seq) AS entity_type, arg_min_null(description, seq) AS description FROM q
+                WHERE op = 'add_node' AND ('windows::' || new_name NOT IN (SELECT id FROM n) OR EXISTS (SELECT 1 FROM done WHERE done.id = 'windows::' || new_name AND done.seq < q.seq)) GROUP BY 1)
+            SELECT n.id, n.name, CASE WHEN z.entity_id IS NOT NULL THEN z.v ELSE n.entity_type END AS entity_type, coalesce(nullif(CASE WHEN x.entity_id IS NOT NULL THEN x.v ELSE n.description END, ''), f.description, CASE WHEN x.entity_id IS NOT NULL THEN x.v ELSE n.description END) AS description,
+                coalesce(nullif(CASE WHEN y.entity_id IS NOT NULL THEN y.v ELSE n.header END, ''), f.header, CASE WHEN y.entity_id IS NOT NULL THEN y.v ELSE n.header END) AS header
+            FROM n LEFT JOIN u x ON x.entity_id = n.id AND x.field = 'description' LEFT JOIN u y ON y.entity_id = n.id AND y.field = 'header' LEFT JOIN u z ON z.entity_id = n.id AND z.field = 'entity_type' LEFT JOIN f ON f.id = n.id
+            WHERE n.id NOT IN (SELECT id FROM done) UNION ALL SELECT id, name, coalesce(entity_type, 'unknown'), description, NULL FROM a""",
         "type_tokens": f"SELECT DISTINCT rec_id, unnest({_tokens('p.type')}) AS token FROM (SELECT rec_id, unnest(parameters) AS p FROM entities)",
         "typed_index": f"SELECT entity_id AS id, name, {_TYPE} AS entity_type FROM entities WHERE entity_id <> '' AND name <> ''",
         "segment_lines": f"""WITH {classified},

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,11 +50,21 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
 def materialize(df: DataFrame) -> DataFrame:
     """``df`` written to the reliable checkpoint folder and read again.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset (tests
-    on one machine) a local one is made. Never a localCheckpoint: a lost executor must not lose the data.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset and the session runs on one
+    machine a local one is made, which goes when the session does. On a cluster without one this raises. Never a localCheckpoint: a lost
+    executor must not lose the data.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
-        context.setCheckpointDir(named or f"file://{tempfile.mkdtemp(prefix='graphloom-', dir=os.environ.get('TMPDIR'))}")
+        if not named and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or _local_folder())
     return df.checkpoint(eager=True)
+
+
+def _local_folder() -> str:
+    """A folder of this machine that is removed when the process ends."""
+    folder = tempfile.mkdtemp(prefix="graphloom-", dir=os.environ.get("TMPDIR"))
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"file://{folder}"
