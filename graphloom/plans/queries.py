@@ -30,6 +30,15 @@ def _entities(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "entities").withColumnsRenamed({"document_id": "doc_id", "entity_id": "id"}).withColumn("ord", F.col("rec_id"))
 
 
+def _with_types(spark: SparkSession, d: str) -> DataFrame:
+    """Entities, and one for each type that their signatures name, as a manual of types would give them."""
+    e = _entities(spark, d).select("id", "name", "entity_type", "parameters", F.struct("return_value.type", "return_value.description").alias("return_value"), "source_file")
+    named = ("PVOID", "SIZE_T", "UINT64", "BYTE", "ULONG", "UINT32", "INT16", "WCHAR", "HANDLE", "DWORD")
+    kinds = {c: t for c, t in e.dtypes}
+    types = spark.range(1).select(F.explode(F.array(*map(F.lit, named))).alias("name")).select(F.concat(F.lit("windows::"), "name").alias("id"), "name", F.lit("Typedef ").alias("entity_type"), *[F.lit(None).cast(kinds[c]).alias(c) for c in ("parameters", "return_value")], F.lit("types.json").alias("source_file"))
+    return e.unionByName(types)
+
+
 def _nodes(spark: SparkSession, d: str) -> DataFrame:
     """One node per name, the last row winning."""
     rows = _entities(spark, d).where("name is not null").select("name", F.concat(F.lit("windows::"), F.col("name")).alias("id"), "entity_type", "description", "syntax", "remarks", "header", "confidence", "cross_references", "source_file", "rec_id")
@@ -172,15 +181,17 @@ def queries() -> dict[str, Query]:
         "graph_stats": lambda s, d: graph.stats(_nodes(s, d), _edges(s, d)),
         "type_counts": lambda s, d: graph.type_counts(_nodes(s, d)),
         "degrees": lambda s, d: graph.degrees(_linked(s, d)),
-        "contexts": lambda s, d: graph.contexts(_nodes(s, d), _linked(s, d)).select("id", F.length("entity").alias("n"), F.size("edges_shown").alias("n_edges"), F.size("neighbours").alias("n_neighbours")),
-        "pending_nodes": lambda s, d: refine.pending(_nodes(s, d), _linked(s, d).select(F.col("source_id").alias("id")), min_confidence=0.7, entity_type="function").select("id", "confidence"),
+        "contexts": lambda s, d: graph.contexts(_nodes(s, d), _linked(s, d)).select(
+            "id", F.array_join("edges_shown", "\n").alias("edges_shown"), F.array_join(F.transform("neighbours", lambda n: F.concat_ws("|", n["name"], n["entity_type"], n["description"])), "\n").alias("neighbours")
+        ),
+        "pending_nodes": lambda s, d: refine.pending(_nodes(s, d), _answers(s, d).select(F.col("entity_id").alias("id")), min_confidence=0.7, entity_type="function").select("id", "confidence"),
         "parse_responses": _parsed,
         "edit_counts": lambda s, d: ops.op_counts(_edits(s, d)),
         "replayed_nodes": lambda s, d: _replayed(s, d).nodes.select("id", "name", "entity_type", "description", "header"),
         "replayed_edges": lambda s, d: _replayed(s, d).edges.select("source", "target", "type"),
         "replay_counts": lambda s, d: _replayed(s, d).counts,
         "type_tokens": lambda s, d: _entities(s, d).select("rec_id", F.explode("parameters").alias("p")).select("rec_id", F.explode(F.array_distinct(T.type_tokens(F.col("p.type")))).alias("token")).distinct(),
-        "type_edges": lambda s, d: enrich.type_edges(_entities(s, d).withColumn("return_value", F.struct(F.col("return_value.type"), F.col("return_value.description"))), table(s, d, "edges").select("source", "target", F.col("edge_type"), "source_file")),
+        "type_edges": lambda s, d: enrich.type_edges(_with_types(s, d), table(s, d, "edges").select("source", "target", F.col("edge_type"), "source_file")),
         "typed_index": lambda s, d: enrich.typed_index(_entities(s, d)),
         "document_hashes": _exported,
     }
@@ -278,6 +289,9 @@ _RULES = """WHEN starts_with(name, 'IOCTL_') OR starts_with(name, 'FSCTL_') THEN
     WHEN regexp_matches(name, '^(EVT|PFN)_|(_CALLBACK|_ROUTINE|_HANDLER|Callback)$') THEN 'callback' WHEN regexp_matches(name, '^_?[A-Z][a-z].*(Ex|ExW|A|W)$') THEN 'function' WHEN regexp_matches(name, '^I[A-Z][a-z]') THEN 'interface'"""
 
 
+_SHORT = f"(SELECT CASE WHEN length(t) > 150 THEN substr(t, 1, 150) || '...' ELSE t END FROM (SELECT {_strip("replace(coalesce(n.description, ''), chr(10), chr(32))")} AS t))"
+
+
 def _tokens(c: str) -> str:
     spaced = f"regexp_replace(coalesce({c}, ''), '[\\s*]+', ' ', 'g')"
     words = f"string_split_regex({_strip(f'replace({spaced}, chr(44), chr(32))')}, '\\s+')"
@@ -320,7 +334,21 @@ def oracle_sql() -> dict[str, str]:
         "graph_stats": f"SELECT v AS total_entities, e AS total_edges, round_even(2.0 * e / greatest(v, 1), 2) AS avg_degree FROM (SELECT (SELECT count(*) FROM {_NODE}) AS v, (SELECT count(*) FROM {_EDGE}) AS e)",
         "type_counts": f"SELECT coalesce(entity_type, 'unknown') AS entity_type, count(*) AS n FROM {_NODE} GROUP BY 1",
         "degrees": f"SELECT id, count(*) AS degree FROM (SELECT source_id AS id FROM {_LINK} UNION ALL SELECT target_id FROM {_LINK}) GROUP BY id",
-        "pending_nodes": f"SELECT id, confidence FROM {_NODE} WHERE id NOT IN (SELECT source_id FROM {_LINK}) AND coalesce(confidence, 1.0) <= 0.7 AND coalesce(entity_type, 'unknown') = 'function'",
+        "pending_nodes": f"SELECT id, confidence FROM {_NODE} WHERE id NOT IN (SELECT 'windows::' || name FROM refined WHERE name IS NOT NULL) AND coalesce(confidence, 1.0) <= 0.7 AND coalesce(entity_type, 'unknown') = 'function'",
+        "contexts": f"""WITH n AS MATERIALIZED (SELECT * FROM {_NODE}), l AS MATERIALIZED (SELECT id, source || ' --[' || type || ']--> ' || target AS line FROM (SELECT *, source_id AS id FROM {_LINK} UNION ALL SELECT *, target_id FROM {_LINK} WHERE source_id <> target_id)),
+            e AS (SELECT id, string_agg(DISTINCT line, chr(10) ORDER BY line) AS edges_shown FROM (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY id ORDER BY line) <= 25) GROUP BY id),
+            b AS (SELECT x.id, x.rank, concat_ws('|', x.name, x.entity_type, CASE WHEN n.id IS NULL THEN '(未在图谱中)' ELSE {_SHORT} END) AS line FROM ({neighbour}) x LEFT JOIN n ON n.id = x.other),
+            g AS (SELECT id, string_agg(line, chr(10) ORDER BY rank) AS neighbours FROM b GROUP BY id)
+            SELECT n.id, edges_shown, neighbours FROM n LEFT JOIN e ON e.id = n.id LEFT JOIN g ON g.id = n.id""",
+        "type_edges": f"""WITH e AS (SELECT name, entity_type, parameters, return_value.type AS rt, source_file FROM entities UNION ALL SELECT unnest(['PVOID', 'SIZE_T', 'UINT64', 'BYTE', 'ULONG', 'UINT32', 'INT16', 'WCHAR', 'HANDLE', 'DWORD']), 'Typedef ', NULL, NULL, 'types.json'),
+            t AS (SELECT DISTINCT name FROM (SELECT name, {_TYPE} AS ty FROM e WHERE name <> '') WHERE ty IN ('structure', 'struct', 'enum', 'enum_value', 'union', 'typedef', 'constant', 'macro', 'flags', 'error_code')),
+            f AS (SELECT * FROM e WHERE name <> '' AND {_TYPE} = 'function'),
+            u AS (SELECT name AS source, source_file, unnest({_tokens('p.type')}) AS token, ['parameter_type', 'uses'] AS kinds FROM (SELECT name, source_file, unnest(parameters) AS p FROM f)
+                UNION ALL SELECT name, source_file, unnest({_tokens('rt')}), ['return_type', 'returns'] FROM f),
+            w AS (SELECT source, source_file, token AS target, unnest(kinds) AS type FROM u WHERE token IN (SELECT name FROM t)),
+            h AS (SELECT DISTINCT least(source, target) AS lo, greatest(source, target) AS hi, coalesce(edge_type, 'unknown') AS type FROM edges WHERE source <> '' AND target <> '')
+            SELECT source, target, type, source_file FROM (SELECT *, least(source, target) AS lo, greatest(source, target) AS hi FROM w) w WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.lo = w.lo AND h.hi = w.hi AND h.type = w.type)
+            QUALIFY row_number() OVER (PARTITION BY lo, hi, type ORDER BY source_file NULLS FIRST, source, target) = 1""",
         "edit_counts": f"WITH {_LOG} SELECT op, count(*) AS n FROM o GROUP BY op",
         "decisions": _DECIDED_SQL,
         "run_totals": f"SELECT (SELECT count(*) FROM ({_DECIDED_SQL})) AS total_pairs, (SELECT count(*) FROM ({_DECIDED_SQL}) WHERE starts_with(decision, 'llm')) AS llm_compares, (SELECT count(*) FROM entities) AS total_entities, (SELECT count(*) FROM {_EDGE}) AS total_edges",
