@@ -11,12 +11,15 @@ skewed source only makes more rows, not larger groups.
 Defined results. A payload that is null, blank, or not exactly one JSON value gives no rows (``malformed``
 lists it). A leading byte-order mark or blank is skipped. Children may be held as a list, a list of lists, a
 single object, an object keyed by name, an object wrapping one list, or text holding any of these; nulls in
-a list are skipped. A child without a name is left out, and with it what it holds, since no path leads there.
+a list are skipped. A child without a name has no path, nor has what it holds; ``child_table`` keeps both, ``found`` leaves them out.
+Every other field of an entity is kept, too: ``reference_table`` holds its cross references, ``value_table`` all further fields by dotted key.
+Members may nest to any depth: what is too deep for the library's parser is read by one with a stack of its own.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from typing import Any
 
@@ -31,6 +34,10 @@ SHREDDED = (
 )
 #: Scalar leaves of an entity and of a child.
 ENTITY_LEAVES = ("id", "name", "entity_type", "description", "confidence")
+#: Fields of an entity that have tables of their own.
+HELD = {*ENTITY_LEAVES, "parameters", "members", "requirements", "cross_references"}
+REFERENCES = "record_id long, entity_no int, entity_name string, nth int, target string"
+VALUES = "record_id long, entity_no int, entity_name string, key string, value string"
 #: Keys that are fields of a body, never a wrapper around a list.
 FIELDS = {"name", "parameters", "members", "requirements", "cross_references"}
 CHILD_LEAVES = ("name", "type", "direction", "description")
@@ -51,11 +58,73 @@ def parse_payload(payload: str | None) -> Any:
     if payload is None:
         raise NotJson("null")
     try:
-        return json.loads(payload.lstrip("﻿ \t\r\n"), parse_constant=_no_constant)
-    except (ValueError, RecursionError) as e:
+        return _load(payload.lstrip("\ufeff \t\r\n"))
+    except ValueError as e:
         raise NotJson(str(e)) from e
 
 
+def _load(text: str) -> Any:
+    try:
+        return json.loads(text, parse_constant=_no_constant)
+    except RecursionError:
+        return load_deep(text)
+
+
+_PIECE = re.compile(r'[ \t\r\n]*(?:([{}\[\]:,])|("(?:[^"\\\x00-\x1f]|\\.)*")|(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null))')
+
+
+def load_deep(text: str) -> Any:
+    """The JSON value of a text, nested to any depth; ValueError if it is not exactly one."""
+    done: list[Any] = []  # the finished value
+    open_: list[tuple[Any, list[str]]] = []  # containers, an object with its pending key
+    at, expect = 0, "value"
+
+    def put(value: Any) -> str:
+        if not open_:
+            done.append(value)
+            return "end"
+        holder, key = open_[-1]
+        if isinstance(holder, dict):
+            holder[key.pop()] = value
+        else:
+            holder.append(value)
+        return "comma"
+
+    while m := _PIECE.match(text, at):
+        at, mark = m.end(), m.group(1)
+        if mark in ("}", "]"):
+            closes = dict if mark == "}" else list
+            if not open_ or not isinstance(open_[-1][0], closes) or expect not in ("comma", "first"):
+                raise ValueError("bracket")
+            open_.pop()
+            expect = "comma" if open_ else "end"
+        elif mark == ",":
+            if expect != "comma":
+                raise ValueError("comma")
+            expect = "key" if isinstance(open_[-1][0], dict) else "value"
+        elif mark == ":":
+            if expect != "colon":
+                raise ValueError("colon")
+            expect = "value"
+        elif expect == "key" or (expect == "first" and isinstance(open_[-1][0], dict)):
+            if m.group(2) is None:
+                raise ValueError("key")
+            open_[-1][1].append(json.loads(m.group(2)))
+            expect = "colon"
+        elif expect not in ("value", "first"):
+            raise ValueError("value")
+        elif mark:
+            value: Any = {} if mark == "{" else []
+            put(value)
+            open_.append((value, []))
+            expect = "first"
+        else:
+            expect = put(json.loads(m.group(2) or m.group(3)))
+    if expect != "end" or text[at:].strip(" \t\r\n"):
+        raise ValueError("not one value")
+    return done[0]
+
+
 def _opened(value: Any) -> Any:
     """Text that holds a JSON list or object counts as that list or object."""
     while isinstance(value, str):
@@ -63,8 +132,8 @@ def _opened(value: Any) -> Any:
         if inner[:1] not in ("[", "{"):
             return None
         try:
-            value = json.loads(inner, parse_constant=_no_constant)
-        except (ValueError, RecursionError):
+            value = _load(inner)
+        except ValueError:
             return None
     return value
 
@@ -126,7 +195,40 @@ def documents_in(value: Any) -> Iterator[dict]:
 def _text(value: Any) -> str | None:
     if value is None or isinstance(value, str):
         return value
-    return json.dumps(value, ensure_ascii=False)
+    try:
+        return json.dumps(value, ensure_ascii=False)
+    except RecursionError:  # a value where a scalar belongs, nested beyond what can be written again
+        return str(type(value).__name__)
+
+
+def further(entity: dict) -> Iterator[tuple[str, Any]]:
+    """(dotted key, value) of every field of an entity that has no table of its own, in order."""
+    stack = [(k, v) for k, v in reversed(entity.items()) if k not in HELD]
+    while stack:
+        key, value = stack.pop()
+        if isinstance(value, dict) and value:
+            stack += [(f"{key}.{k}", v) for k, v in reversed(value.items())]
+        elif isinstance(value, list) and value:
+            stack += [(key, v) for v in reversed(value)]
+        else:
+            yield key, value
+
+
+def targets(container: Any) -> list[str]:
+    """Names in a list of references, which may be text holding that list, nested lists, or a single name."""
+    opened = _opened(container)
+    if opened is None:
+        return [container] if isinstance(container, str) and container else []
+    out, stack = [], [opened]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, list):
+            stack += reversed(x)
+        elif isinstance(x, dict):
+            stack += [x["name"]] if "name" in x else list(x)[::-1]
+        elif x is not None:
+            out.append(str(_text(x)))
+    return out
 
 
 class _Columns:
@@ -168,6 +270,12 @@ def shred_value(value: Any) -> list[dict]:
                 out.add(f"doc.ent.{leaf}", 2, rep, 2 + (v is not None or leaf in entity), _text(v))
             for kind in ("parameters", "members"):
                 _shred_children(out, f"doc.ent.{kind}", 3, rep, entity.get(kind))
+            for path, rows in (("cross_references", [(None, v) for v in targets(entity.get("cross_references"))]), ("more", list(further(entity)))):
+                for i, (k, v) in enumerate(rows or [(None, None)]):
+                    r = 3 if i else rep
+                    out.add(f"doc.ent.{path}.value", 3, r, 4 if rows and v is not None else 3 if rows else 2, _text(v))
+                    if path == "more":
+                        out.add("doc.ent.more.key", 3, r, 4 if rows else 2, k)
             there = False
             for k, v in pairs(entity.get("requirements")):
                 r = 3 if there else rep
@@ -184,8 +292,8 @@ def shred_value(value: Any) -> list[dict]:
             for kind in ("parameters", "members"):
                 for leaf in CHILD_LEAVES:
                     out.add(f"doc.ent.{kind}.{leaf}", 3, rep, 1, None)
-            for leaf in ("key", "value"):
-                out.add(f"doc.ent.requirements.{leaf}", 3, rep, 1, None)
+            for leaf in ("requirements.key", "requirements.value", "cross_references.value", "more.value", "more.key"):
+                out.add(f"doc.ent.{leaf}", 3, rep, 1, None)
     return out.rows()
 
 
@@ -195,9 +303,10 @@ def _shred_children(out: _Columns, path: str, level: int, rep: int, container: A
     Every child that is there gets an entry in the path below it, also where it has no children itself: the
     k-th run of entries of a path belongs to the k-th child that is there one path up.
     """
-    stack: list[tuple[str, int, int, Any]] = [(path, level, rep, container)]
+    stack: list[tuple[int, int, Any]] = [(level, rep, container)]
     while stack:
-        at, lv, r, holder = stack.pop()
+        lv, r, holder = stack.pop()
+        at = nested(path, lv)
         if isinstance(holder, tuple):  # one child, already opened
             key, body = holder
             name = body.get("name")
@@ -205,8 +314,8 @@ def _shred_children(out: _Columns, path: str, level: int, rep: int, container: A
             for leaf in CHILD_LEAVES:
                 v = name if leaf == "name" else body.get(leaf)
                 out.add(f"{at}.{leaf}", lv, r, lv + (v is not None), _text(v))
-            if at.startswith("doc.ent.members"):
-                stack.append((f"{at}.members", lv + 1, r, body.get("members")))
+            if path == "doc.ent.members":
+                stack.append((lv + 1, r, body.get("members")))
             continue
         children = list(items(holder))
         if not children:
@@ -214,7 +323,12 @@ def _shred_children(out: _Columns, path: str, level: int, rep: int, container: A
                 out.add(f"{at}.{leaf}", lv, r, lv - 1, None)
             continue
         for i in range(len(children) - 1, -1, -1):
-            stack.append((at, lv, r if i == 0 else lv, children[i]))
+            stack.append((lv, r if i == 0 else lv, children[i]))
+
+
+def nested(path: str, level: int) -> str:
+    """Path of the leaves of members within members, by depth, so that its length does not grow with it."""
+    return path if level == 3 else f"{path}({level - 2})"
 
 
 def ordinals(reps: np.ndarray, level: int) -> np.ndarray:
@@ -222,11 +336,11 @@ def ordinals(reps: np.ndarray, level: int) -> np.ndarray:
     return np.cumsum(reps <= level) - 1
 
 
-def _assembled(columns: list[dict]) -> tuple[list[dict], list[dict]]:
-    """Entity rows and child rows of one record from its columns."""
+def _assembled(columns: list[dict]) -> tuple[list[dict], list[dict], list[dict], list[dict]]:
+    """Entity, child, reference and further value rows of one record from its columns."""
     by = {c["path"]: c for c in columns}
     if "doc.ent.name" not in by:
-        return [], []
+        return [], [], [], []
 
     def sequence(path: str) -> tuple[np.ndarray, np.ndarray, list]:
         c = by[path]
@@ -260,27 +374,37 @@ def _assembled(columns: list[dict]) -> tuple[list[dict], list[dict]]:
                 reached = bool(name) and (level == 3 or outer is not None)
                 own = (name if level == 3 else f"{outer}/{name}") if reached else None
                 here.append((own, f"{outer_no}.{nth[i]}", entity))
-                if own is not None and names[entity]:
-                    children.append(
-                        {
-                            "entity_no": entity, "entity_name": names[entity], "child_kind": kind, "child_path": own, "depth": level - 2, "child_no": here[-1][1],
-                            "parent_no": outer_no, "type": more["type"][i], "direction": more["direction"][i], "description": more["description"][i], "value": None,
-                        }
-                    )
-            above, path, level = here, f"{path}.members", level + 1
+                children.append(
+                    {
+                        "entity_no": entity, "entity_name": names[entity], "child_kind": kind, "child_path": own, "depth": level - 2, "child_no": here[-1][1],
+                        "parent_no": outer_no, "type": more["type"][i], "direction": more["direction"][i], "description": more["description"][i], "value": None,
+                    }
+                )
+            above, level = here, level + 1
+            path = nested(root, level)
     if "doc.ent.requirements.key" in by:
         reps, defs, keys = sequence("doc.ent.requirements.key")
         _, there, vals = sequence("doc.ent.requirements.value")
         entity = ordinals(reps, 2)
         for i, key in enumerate(keys):
-            if defs[i] == 4 and there[i] == 4 and key and names[entity[i]]:
+            if defs[i] == 4 and there[i] >= 3:
                 children.append(
                     {
                         "entity_no": int(entity[i]), "entity_name": names[entity[i]], "child_kind": "requirement", "child_path": key, "depth": 1,
                         "child_no": f"{entity[i]}.{key}", "parent_no": str(entity[i]), "type": None, "direction": None, "description": None, "value": vals[i],
                     }
                 )
-    return entities, children
+    references, values = [], []
+    for path, into in (("cross_references", references), ("more", values)):
+        reps, defs, vals = sequence(f"doc.ent.{path}.value")
+        keys = sequence("doc.ent.more.key")[2] if path == "more" else None
+        entity = ordinals(reps, 2)
+        first = np.maximum.accumulate(np.where(reps < 3, np.arange(len(reps)), 0))
+        for i, v in enumerate(vals):
+            if defs[i] >= 3:
+                row = {"entity_no": int(entity[i]), "entity_name": names[entity[i]]}
+                into.append(row | ({"nth": int(i - first[i]), "target": v} if keys is None else {"key": keys[i], "value": v}))
+    return entities, children, references, values
 
 
 def shred(raw: DataFrame) -> DataFrame:
@@ -322,6 +446,16 @@ def child_table(shredded: DataFrame) -> DataFrame:
     return _assemble(shredded, 1, CHILDREN)
 
 
+def reference_table(shredded: DataFrame) -> DataFrame:
+    """One row per cross reference of an entity, in order."""
+    return _assemble(shredded, 2, REFERENCES)
+
+
+def value_table(shredded: DataFrame) -> DataFrame:
+    """One row per further value of an entity, by dotted key: return values, headers and whatever else a record holds."""
+    return _assemble(shredded, 3, VALUES)
+
+
 def document_table(shredded: DataFrame) -> DataFrame:
     """One row per document of a record, straight from its two leaf columns."""
     pick = lambda leaf: F.filter("columns", lambda c: c["path"] == f"doc.{leaf}")[0]["vals"]
@@ -348,4 +482,5 @@ def malformed(raw: DataFrame) -> DataFrame:
 
 def found(raw: DataFrame) -> DataFrame:
     """(record_id, entity_name, child_kind, child_path), distinct."""
-    return child_table(shred(raw)).select("record_id", "entity_name", "child_kind", "child_path").distinct()
+    named = child_table(shred(raw)).where("entity_name <> '' and child_path <> '' and (child_kind <> 'requirement' or value is not null)")
+    return named.select("record_id", "entity_name", "child_kind", "child_path").distinct()

@@ -29,6 +29,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p1_documents": _raw(lambda raw: shred.document_table(shred.shred(raw))),
         "p1_entities": _raw(lambda raw: shred.entity_table(shred.shred(raw))),
         "p1_children": _raw(lambda raw: shred.child_table(shred.shred(raw))),
+        "p1_references": _raw(lambda raw: shred.reference_table(shred.shred(raw))),
+        "p1_values": _raw(lambda raw: shred.value_table(shred.shred(raw))),
         "p1_malformed": _raw(shred.malformed),
         "p5_found": _refs(orphans.found),
         "p5_report": _refs(orphans.report),

@@ -13,7 +13,8 @@ def children(payload):
         columns = shred.shred_value(shred.parse_payload(payload))
     except shred.NotJson:
         return set()
-    return {(c["entity_name"], c["child_kind"], c["child_path"]) for c in shred._assembled(columns)[1]}
+    rows = shred._assembled(columns)[1]
+    return {(c["entity_name"], c["child_kind"], c["child_path"]) for c in rows if c["entity_name"] and c["child_path"] and (c["child_kind"] != "requirement" or c["value"] is not None)}
 
 
 def brute(entities):
@@ -59,6 +60,44 @@ def test_payloads_that_are_not_one_value():
         assert children(bad) == set()
 
 
+values = st.recursive(st.none() | st.booleans() | st.integers() | st.floats(allow_nan=False, allow_infinity=False) | st.text(), lambda v: st.lists(v, max_size=4) | st.dictionaries(st.text(max_size=4), v, max_size=4), max_leaves=20)
+
+
+@settings(max_examples=300, deadline=None)
+@given(values, st.integers(0, 40), st.sampled_from(["", "]", ",", '"', "}", "1"]))
+def test_own_parser_equals_the_library(value, at, extra):
+    for text in (json.dumps(value, ensure_ascii=False), json.dumps(value, indent=1)):
+        broken = text[:at] + extra + text[at:]
+        for t in (text, broken):
+            try:
+                want = json.loads(t, parse_constant=shred._no_constant)
+            except ValueError:
+                want = ValueError
+            try:
+                got = shred.load_deep(t)
+            except ValueError:
+                got = ValueError
+            assert got == want, t
+
+
+def test_members_of_any_depth():
+    deep, depth = '{"name": "m"}', 5000
+    for _ in range(depth - 1):
+        deep = f'{{"name": "m", "members": [{deep}]}}'
+    got = children(f'{{"entities": [{{"name": "E", "members": [{deep}]}}]}}')
+    assert len(got) == depth and max(len(p) for _, _, p in got) == 2 * depth - 1
+
+
+def test_nothing_of_an_entity_is_lost(spark):
+    record = {"document": {"document_id": "d"}, "entities": [{"name": "E", "cross_references": ["A", {"name": "B"}, None, ["C"]], "return_value": {"type": "int", "more": {"x": [1, 2]}}, "header": "h.h", "members": [{"type": "t", "members": [{"name": "n"}]}, {"name": "m"}]}, {"cross_references": '["D"]', "parameters": [{"name": "p"}], "return_value": None}, {"name": "F"}]}
+    shredded = shred.shred(spark.createDataFrame([(1, json.dumps(record))], "record_id long, payload string"))
+    assert [(r.entity_name, r.nth, r.target) for r in shred.reference_table(shredded).collect()] == [("E", 0, "A"), ("E", 1, "B"), ("E", 2, "C"), (None, 0, "D")]
+    assert [(r.entity_no, r.key, r.value) for r in shred.value_table(shredded).collect()] == [(0, "return_value.type", "int"), (0, "return_value.more.x", "1"), (0, "return_value.more.x", "2"), (0, "header", "h.h"), (1, "return_value", None)]
+    kids = {(r.entity_no, r.child_path, r.type, r.child_no, r.parent_no) for r in shred.child_table(shredded).collect()}
+    assert kids == {(0, None, "t", "0.0", "0"), (0, None, None, "0.0.0", "0.0"), (0, "m", None, "0.1", "0"), (1, "p", None, "1.0", "1")}
+    assert shred.found(spark.createDataFrame([(1, json.dumps(record))], "record_id long, payload string")).count() == 1
+
+
 def test_tables_with_nulls_empty_and_extra_columns(spark):
     rows = [(1, '{"document": {"document_id": "d"}, "entities": [{"name": "E", "members": [{"name": "m", "members": [{"name": "n"}]}]}]}', "x"), (2, None, "y"), (None, "{}", "z"), (3, "broken", None)]
     raw = spark.createDataFrame(rows, "record_id long, payload string, columns string")
