@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from graphloom.functions import text as T
@@ -65,9 +66,11 @@ def decide(variants: DataFrame, scored: DataFrame) -> DataFrame:
 
 def adjudicate(decisions: DataFrame, entities: DataFrame, judge: Callable[[list[dict], list[dict]], str | None]) -> DataFrame:
     """``decisions`` with pending ones put to ``judge`` by the first entities of each side; "B" takes t, all else p."""
+    first = F.row_number().over(W.partitionBy(*DOC).orderBy("ord"))  # cut before rows are gathered: a document may hold many
     sample = (
         entities.join(decisions.where("decision = 'llm_pending'").select("doc_id"), "doc_id", "left_semi")
-        .groupBy(*DOC).agg(F.slice(F.array_sort(F.collect_list(F.struct("ord", "name", "entity_type", "description", "confidence"))), 1, SAMPLES).alias("sample"))
+        .select(*DOC, "ord", "name", "entity_type", "description", "confidence").withColumn("nth", first).where(F.col("nth") <= SAMPLES)
+        .groupBy(*DOC).agg(F.array_sort(F.collect_list(F.struct("ord", "name", "entity_type", "description", "confidence"))).alias("sample"))
         .groupBy("doc_id").agg(F.max(F.when(F.col("src") == "p", F.col("sample"))).alias("a"), F.max(F.when(F.col("src") == "t", F.col("sample"))).alias("b"))
     )
 

@@ -38,10 +38,19 @@ def entities_of(line_rows: DataFrame, g: Grammar = OCR, lexicon: DataFrame | Non
     return E.finished(merged, E.cross_references(merged, names, g), g), names
 
 
-def extract(scans: DataFrame, g: Grammar = OCR, judge=None) -> Extraction:
-    """Extraction of scans (doc_id, src, file_name, text, md5)."""
+def extract(scans: DataFrame, g: Grammar = OCR, judge=None, todo: DataFrame | None = None, known: DataFrame | None = None) -> Extraction:
+    """Extraction of scans (doc_id, src, file_name, text, md5).
+
+    With ``todo`` only those scans are parsed, with the names of all; the entities of the others are taken from ``known``, an earlier run's.
+    """
     line_rows = lines.explode_lines(scans.select("doc_id", "src", "text"))
-    found, names = entities_of(line_rows, g)
+    if todo is None or known is None:
+        found, names = entities_of(line_rows, g)
+    else:
+        names = materialize(lines.lexicon(lines.classify(line_rows, g)))
+        new, _ = entities_of(lines.explode_lines(todo.select("doc_id", "src", "text")), g, names)
+        kept = known.join(todo.select("doc_id", "src"), ["doc_id", "src"], "left_anti").join(scans.select("doc_id", "src"), ["doc_id", "src"], "left_semi")
+        found = new.unionByName(kept.select(*new.columns))
     found = materialize(found)
     documents = source.document_meta(scans, lines.title(line_rows, g), lines.headers_referenced(line_rows), found)
     scores = quality.scores(found)

@@ -85,6 +85,16 @@ def append_answers(answers: DataFrame, path: str) -> None:
     answers.select("entity_id", now.alias("timestamp"), "response").write.mode("append").json(path)
 
 
+def append_processed(answers: DataFrame, path: str) -> None:
+    """The ids of answered nodes, with the time, appended to the table of those a resumed run skips."""
+    answers.select(F.col("entity_id").alias("id"), F.current_timestamp().alias("at")).write.mode("append").parquet(path)
+
+
+def write_refined(nodes: DataFrame, path: str) -> None:
+    """The refined nodes as JSON, one line each, in one folder per file they came from; added nodes are in llm_added."""
+    nodes.withColumn("source_file", F.coalesce("source_file", F.lit("llm_added"))).write.mode("overwrite").partitionBy("source_file").json(path)
+
+
 def refined_files(nodes: DataFrame) -> DataFrame:
     """(source_file, entities): nodes per file they came from; added nodes are in llm_added."""
     return nodes.groupBy(F.coalesce("source_file", F.lit("llm_added")).alias("source_file")).agg(F.count("*").alias("entities"))

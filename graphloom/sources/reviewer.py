@@ -9,6 +9,25 @@ import urllib.request
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from graphloom.operators.responses import parse_winner
+
+#: What a chat service is told: its task, the edits there are, and the form of the answer.
+SYSTEM = """You review one entity of a knowledge graph made from scanned API manuals. You see the entity, its edges and its neighbours.
+Decide whether it is a real API element (keep), scan noise (delete) or the same as another one (merge). Improve its fields only where the text shown supports it.
+
+Edits:
+- {"op": "update_field", "field": "description|entity_type|syntax|return_value|remarks|header|deprecated", "value": "..."}
+- {"op": "add_edge", "target": "NAME", "edge_type": "..."}
+- {"op": "delete_edge", "target": "NAME", "edge_type": "..."} (without edge_type: of any type)
+- {"op": "add_node", "name": "NAME", "entity_type": "...", "description": "..."}
+- {"op": "delete_node", "reason": "..."}
+- {"op": "merge_into", "target_id": "ID of the other entity", "reason": "..."}
+
+Answer with one JSON object and nothing else:
+{"verdict": "keep|delete|merge", "confidence": 0.0 to 1.0, "summary": "one sentence", "operations": [edits, or none]}"""
+#: What it is told when it compares two extractions of one document.
+JUDGE = """You compare two extractions, A and B, of the same scanned API manual by samples of their entities: correct names, clear descriptions, filled fields, little scan noise.
+Answer with one JSON object and nothing else: {"winner": "A" or "B", "confidence": 0.0 to 1.0, "reason": "one sentence"}"""
 #: What a reviewer is: a prompt in, an answer or None out.
 Reviewer = Callable[[str], str | None]
 
@@ -46,11 +65,12 @@ def load_config(path: str, provider: str = "deepseek") -> ChatConfig | None:
 class ChatClient:
     """A reviewer over HTTP with pacing and retries; ``send`` and ``sleep`` can be replaced in tests.
 
-    Each worker paces itself, so give it the rate per worker: requests per minute over the number of workers.
+    Each worker has a copy that paces itself; ``share`` is the number of workers among which the requests per minute are divided.
     """
 
     config: ChatConfig
-    system: str = ""
+    system: str = SYSTEM
+    share: int = 1
     send: Callable[[urllib.request.Request], tuple[int, bytes]] | None = None
     sleep: Callable[[float], None] = time.sleep
     calls: int = 0
@@ -60,7 +80,7 @@ class ChatClient:
     _last: float = field(default=0.0, repr=False)
 
     def _wait_turn(self) -> None:
-        wait = 60.0 / self.config.requests_per_min - (time.monotonic() - self._last)
+        wait = 60.0 * self.share / self.config.requests_per_min - (time.monotonic() - self._last)
         if wait > 0 and self._last:
             self.sleep(wait)
         self._last = time.monotonic()
@@ -102,7 +122,17 @@ class ChatClient:
         return None
 
 
-def by_rules(prompt: str) -> str:
-    """A reviewer without a service: keeps everything, and marks descriptions that are only metadata for deletion."""
-    dated = "项目 20" in prompt or "项目20" in prompt
-    return json.dumps({"verdict": "delete" if dated else "keep", "confidence": 0.9, "summary": "metadata" if dated else "ok", "operations": []})
+def keep_all(prompt: str) -> str:
+    """A reviewer without a service: keeps everything as it is."""
+    return json.dumps({"verdict": "keep", "confidence": 1.0, "summary": "", "operations": []})
+
+
+@dataclass
+class Judge:
+    """Puts samples of two extractions to a reviewer; "A", "B" or None."""
+
+    ask: Reviewer
+
+    def __call__(self, a: list[dict], b: list[dict]) -> str | None:
+        shown = lambda rows: json.dumps([{"name": r["name"], "type": r["entity_type"], "description": (r["description"] or "")[:100], "confidence": r["confidence"]} for r in rows], ensure_ascii=False, indent=1)
+        return parse_winner(self.ask(f"A:\n{shown(a)}\n\nB:\n{shown(b)}"))
