@@ -247,8 +247,8 @@ class _Columns:
         return [{"path": p, "max_rep": m, "reps": r, "defs": d, "vals": v} for p, (m, r, d, v) in self.by_path.items()]
 
 
-def shred_value(value: Any) -> list[dict]:
-    """Columns of one parsed payload.
+def shred_value(value: Any, more: bool = True) -> list[dict]:
+    """Columns of one parsed payload; without ``more`` those of entities and children only.
 
     The repeated ancestors are documents (level 1), entities (2), then parameters, members or requirements (3)
     and members within members (4 and on). A leaf's definition level is its depth of repetition plus one where
@@ -270,7 +270,7 @@ def shred_value(value: Any) -> list[dict]:
                 out.add(f"doc.ent.{leaf}", 2, rep, 2 + (v is not None or leaf in entity), _text(v))
             for kind in ("parameters", "members"):
                 _shred_children(out, f"doc.ent.{kind}", 3, rep, entity.get(kind))
-            for path, rows in (("cross_references", [(None, v) for v in targets(entity.get("cross_references"))]), ("more", list(further(entity)))):
+            for path, rows in () if not more else (("cross_references", [(None, v) for v in targets(entity.get("cross_references"))]), ("more", list(further(entity)))):
                 for i, (k, v) in enumerate(rows or [(None, None)]):
                     r = 3 if i else rep
                     out.add(f"doc.ent.{path}.value", 3, r, 4 if rows and v is not None else 3 if rows else 2, _text(v))
@@ -292,7 +292,7 @@ def shred_value(value: Any) -> list[dict]:
             for kind in ("parameters", "members"):
                 for leaf in CHILD_LEAVES:
                     out.add(f"doc.ent.{kind}.{leaf}", 3, rep, 1, None)
-            for leaf in ("requirements.key", "requirements.value", "cross_references.value", "more.value", "more.key"):
+            for leaf in ("requirements.key", "requirements.value", *(("cross_references.value", "more.value", "more.key") if more else ())):
                 out.add(f"doc.ent.{leaf}", 3, rep, 1, None)
     return out.rows()
 
@@ -395,7 +395,7 @@ def _assembled(columns: list[dict]) -> tuple[list[dict], list[dict], list[dict],
                     }
                 )
     references, values = [], []
-    for path, into in (("cross_references", references), ("more", values)):
+    for path, into in (("cross_references", references), ("more", values)) if "doc.ent.more.key" in by else ():
         reps, defs, vals = sequence(f"doc.ent.{path}.value")
         keys = sequence("doc.ent.more.key")[2] if path == "more" else None
         entity = ordinals(reps, 2)
@@ -407,8 +407,11 @@ def _assembled(columns: list[dict]) -> tuple[list[dict], list[dict], list[dict],
     return entities, children, references, values
 
 
-def shred(raw: DataFrame) -> DataFrame:
-    """``raw`` (record_id, payload) as one row of shredded columns per readable payload."""
+def shred(raw: DataFrame, more: bool = True) -> DataFrame:
+    """``raw`` (record_id, payload) as one row of shredded columns per readable payload.
+
+    Without ``more`` the columns that only ``reference_table`` and ``value_table`` need are left out.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -419,7 +422,7 @@ def shred(raw: DataFrame) -> DataFrame:
                 except NotJson:
                     continue
                 ids.append(record_id)
-                columns.append(shred_value(value))
+                columns.append(shred_value(value, more))
             yield pd.DataFrame({"record_id": pd.Series(ids, dtype="int64"), "columns": pd.Series(columns, dtype=object)})
 
     return raw.select("record_id", "payload").where("record_id is not null and payload is not null").mapInPandas(run, SHREDDED)
@@ -482,5 +485,5 @@ def malformed(raw: DataFrame) -> DataFrame:
 
 def found(raw: DataFrame) -> DataFrame:
     """(record_id, entity_name, child_kind, child_path), distinct."""
-    named = child_table(shred(raw)).where("entity_name <> '' and child_path <> '' and (child_kind <> 'requirement' or value is not null)")
+    named = child_table(shred(raw, more=False)).where("entity_name <> '' and child_path <> '' and (child_kind <> 'requirement' or value is not null)")
     return named.select("record_id", "entity_name", "child_kind", "child_path").distinct()
