@@ -135,8 +135,8 @@ def test_membership_gives_all_pairs(spark):
 
 
 def cut_rows(spark):
-    whole = ["The caller must flush the cache before it uses OpenWidgetList.", "仅供 OpenWidgetList 内部使用", "对于 CloseWidgetMode 的说明见下表。", "Handle to the cache of OpenWidgetList"]
-    rows = [(i, "t", "f", whole[i % 4], None) for i in range(160)]
+    whole = lambda i: ["The caller must flush the cache before it uses OpenWidgetList{}.", "仅供 OpenWidgetList{} 内部使用", "对于 CloseWidgetMode{} 的说明见下表。", "Handle to the cache of OpenWidgetList{}"][i % 4].format(i)
+    rows = [(i, "t", "f", whole(i), None) for i in range(160)]
     cut = ["The caller must flush the ca", "The caller must flush", "The caller must fl…", "对于 CloseWidgetMode 的说", "The caller must flush the cache before it uses Open", "The caller ..."]
     return rows + [(1000 + i, "t", "g", c, "x") for i, c in enumerate(cut)] + [(2000, "t", "g", None, None), (2001, "t", "g", "", None), (2002, "p", "g", "The caller must fl", ""), (2003, None, "g", "The caller must fl", None)]
 
