@@ -17,6 +17,9 @@ by the cut ("...", an ellipsis, a broken character) is looked through.
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,11 +98,27 @@ def found(entities: DataFrame) -> DataFrame:
 
 
 def _run(entities: DataFrame, select: str) -> DataFrame:
-    spark = entities.sparkSession
-    texts(entities).createOrReplaceTempView("texts")
-    for table in ("worded", "counts"):
-        materialize(spark.sql(statement(table, f"SELECT * FROM {table}"))).createOrReplaceTempView(table)
-    return spark.sql(statement("verdicts", select))
+    """The result of ``select`` over texts and verdicts; views have names of their own and are gone when this returns."""
+    spark, mark = entities.sparkSession, uuid.uuid4().hex
+    views: dict[str, str] = {}
+
+    def view(name: str, df: DataFrame) -> None:
+        views[name] = f"{name}_{mark}"
+        df.createOrReplaceTempView(views[name])
+
+    def run(last: str, chosen: str) -> DataFrame:
+        own = statement(last, chosen)
+        return spark.sql(re.sub(rf"\bFROM ({'|'.join(views)})\b", lambda m: f"FROM {views[m.group(1)]}", own))
+
+    view("texts", texts(entities))
+    worded = materialize(run("worded", "SELECT * FROM worded"))
+    view("worded", worded)
+    counts = materialize(run("counts", "SELECT * FROM counts"))
+    view("counts", counts)
+    out = run("verdicts", select)
+    for name in views.values():
+        spark.catalog.dropTempView(name)
+    return out
 
 
 def report(entities: DataFrame) -> DataFrame:
